@@ -34,14 +34,14 @@ def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) ->
     order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     previous = F.lag("cands").over(order)
-    decided = (F.size(previous) == 1) & previous[0]["has_zero"]
+    decided = (F.size(previous) == 1) & F.get(previous, F.lit(0))["has_zero"]
     if params.scope == "session":
         decided = decided & (F.lag("session_id").over(order) == F.col("session_id"))
     clears = F.exists("cands", lambda c: c["has_zero"]) | ~F.exists(
         "cands", lambda c: c["line_id"] == F.col("_decided_line")
     )
     rows = rows.withColumns({
-        "_decided": F.coalesce(decided, F.lit(False)), "_decided_line": previous[0]["line_id"],
+        "_decided": F.coalesce(decided, F.lit(False)), "_decided_line": F.get(previous, F.lit(0))["line_id"],
     })
     rows = rows.withColumn(
         "_cut", F.col("_decided") & (F.size("cands") > 0) & F.coalesce(clears, F.lit(False))

@@ -93,10 +93,12 @@ def load_lines(spark: SparkSession, path: str, whole_files: bool = False) -> Dat
     return rows.select(F.col("key").alias("line_id"), "value.*")
 
 
-def key_text(kind: str, tile7: Column, bucket: Column, params: MatchParams) -> Column:
+def key_text_of(kind: Column, tile7: Column, bucket: Column, params: MatchParams) -> Column:
     """Text form of an index key: ``type=<kind>,mode=BUS,direction=UNKNOWN#<tile>_<bucket>``."""
     place = tiles.tile_text(tile7, params.stop_tile_chars)
-    return F.concat(F.lit(f"type={kind},mode=BUS,direction=UNKNOWN#"), place, F.lit("_"), bucket.cast("string"))
+    return F.concat(
+        F.lit("type="), kind, F.lit(",mode=BUS,direction=UNKNOWN#"), place, F.lit("_"), bucket.cast("string")
+    )
 
 
 def _parse_key(rows: DataFrame) -> DataFrame:
