@@ -182,7 +182,7 @@ mem as (
   from orders where o_orderkey in (select id from ways)
   union all
   select o_custkey, o_orderkey, 'node', f.node, case o_orderkey % 3 when 0 then 'platform' else 'stop' end
-  from orders join (select way, arg_min(node, ord) as node from wn group by way) f on f.way = o_orderkey)
+  from orders join (select way, arg_min(node, {'o': ord, 'n': node}) as node from wn group by way) f on f.way = o_orderkey)
 """
 
 _PT = "round(n.lon*1000000)::bigint || ' ' || round(n.lat*1000000)::bigint"
@@ -238,7 +238,7 @@ from kp k left join stopgeo s on s.tile = k.tile"""),
         "waypoint_json": _with("waypoints", """select seq_no, vehicle_id::varchar as vehicle_id, t_us, lat, lon, event_type,
   stop_name, door, boarding, exiting from waypoints"""),
         "osm_routes": _OSM_BASE + f""",
-wl as (select w.way, string_agg({_PT}, ',' order by w.ord) as txt from wn w join nodes n on n.id = w.node
+wl as (select w.way, string_agg({_PT}, ',' order by w.ord, w.node) as txt from wn w join nodes n on n.id = w.node
   group by w.way having count(*) > 1),
 np as (select m.rel, m.role, string_agg({_PT}, ',' order by m.ord) as txt from mem m join nodes n on n.id = m.ref
   where m.type = 'node' group by all),
