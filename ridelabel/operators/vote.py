@@ -23,25 +23,37 @@ def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) ->
     """Add ``part``, which cuts a vote group where cutting cannot change the result.
 
     For ordinary vehicles there is one part. For hot ones a part starts at a time
-    chunk with a certain restart: the keypoint before had a single candidate that
-    may start there (so it was decided and nothing is pending), and this one
-    clears the votes (a line may start here, or the decided line is not due).
+    chunk with a certain restart, seen from neighbouring keypoints alone:
+    the one before was decided whatever the votes were (its only candidate may
+    start there, or was the only candidate of the one before it, too), so nothing
+    is pending; and this one clears the votes (a line may start here, or the
+    decided line is not due).
     """
-    if not chunked or params.first_stop_votes < params.single_min_votes:
+    certain = params.first_stop_votes >= params.single_min_votes <= 2 * params.other_stop_votes
+    if not chunked or not certain:
         return steps.withColumn("part", F.lit(-1).cast("bigint"))
 
     rows = steps.withColumn("_chunk", chunk_of("time", params))
     order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    previous = F.lag("cands").over(order)
-    decided = (F.size(previous) == 1) & F.get(previous, F.lit(0))["has_zero"]
+    only = F.when(F.size("cands") == 1, F.get("cands", F.lit(0)))
+    rows = rows.withColumn("_only", only)
     if params.scope == "session":
-        decided = decided & (F.lag("session_id").over(order) == F.col("session_id"))
+        rows = rows.withColumn("_group", F.col("session_id"))
+    else:
+        rows = rows.withColumn("_group", F.lit(0))
+    seen_before = F.struct("_only", "_group")
+    rows = rows.withColumns({"_p1": F.lag(seen_before, 1).over(order), "_p2": F.lag(seen_before, 2).over(order)})
+    line = F.col("_p1._only.line_id")
+    decided = (F.col("_p1._group") == F.col("_group")) & (
+        F.col("_p1._only.has_zero")
+        | F.coalesce((F.col("_p2._group") == F.col("_group")) & (F.col("_p2._only.line_id") == line), F.lit(False))
+    )
     clears = F.exists("cands", lambda c: c["has_zero"]) | ~F.exists(
         "cands", lambda c: c["line_id"] == F.col("_decided_line")
     )
     rows = rows.withColumns({
-        "_decided": F.coalesce(decided, F.lit(False)), "_decided_line": F.get(previous, F.lit(0))["line_id"],
+        "_decided": F.coalesce(decided, F.lit(False)), "_decided_line": line,
     })
     rows = rows.withColumn(
         "_cut", F.col("_decided") & (F.size("cands") > 0) & F.coalesce(clears, F.lit(False))
@@ -62,7 +74,7 @@ def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) ->
     )
     return joined.withColumn(
         "part", F.when(F.col("_seen"), F.col("_chunk")).otherwise(F.col("_carried"))
-    ).drop("_chunk", "_decided", "_decided_line", "_cut", "_seen", "_v", "_c", "_carried")
+    ).drop("_chunk", "_only", "_group", "_p1", "_p2", "_decided", "_decided_line", "_cut", "_seen", "_v", "_c", "_carried")
 
 
 def vote_fold(steps: DataFrame, params: MatchParams) -> DataFrame:
