@@ -172,7 +172,7 @@ def candidate_gate(spark, sf):
 
 
 def near_stops_join(spark, sf):
-    return match.near_stops(_keyed(spark, sf), _master(spark, sf), P).select(
+    return match.near_stops(_keyed(spark, sf), _master(spark, sf)).select(
         *RUN, F.col("stop.IFOPT").alias("ifopt"), F.round("dist", 12).alias("dist")
     )
 

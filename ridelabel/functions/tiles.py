@@ -37,7 +37,8 @@ def _spread(index: Column) -> Column:
     A lookup names its input once per group of five bits; shifting and masking
     would name it 32 times over and bloat the plan.
     """
-    table = F.array(*[F.lit(sum((i >> b & 1) << 2 * b for b in range(5))).cast("bigint") for i in range(32)])
+    spread = [sum((i >> b & 1) << 2 * b for b in range(5)) for i in range(32)]
+    table = F.expr(f"array({', '.join(f'{v}L' for v in spread)})")
     total = None
     for low in range(0, _AXIS_BITS, 5):
         five = F.shiftright(index, low).bitwiseAND(F.lit(31)).cast("int")
@@ -87,10 +88,8 @@ def tile(lat: Column, lon: Column, chars: int) -> Column:
 
 def common_chars(a: Column, b: Column) -> Column:
     """Number of leading geohash characters two cells share."""
-    total = F.lit(0)
-    for chars in range(1, CELL_CHARS + 1):
-        total = total + (cell_tile(a, chars) == cell_tile(b, chars)).cast("int")
-    return total
+    differing_bits = F.length(F.bin(a.bitwiseXOR(b)))
+    return F.when(a == b, CELL_CHARS).otherwise(CELL_CHARS - F.ceil(differing_bits / 5)).cast("int")
 
 
 def prefix_text(cell_col: Column, chars: Column) -> Column:

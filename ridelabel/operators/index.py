@@ -87,9 +87,8 @@ def candidate_lists(index: DataFrame) -> DataFrame:
     )
 
 
-def serving_stops(stops: DataFrame, service: DataFrame, params: MatchParams) -> DataFrame:
+def serving_stops(placed: DataFrame, service: DataFrame) -> DataFrame:
     """One row per (tile, line) with the stops there that the line serves."""
-    placed = stop_tiles(stops, params)
     return (
         placed.join(service, "IFOPT")
         .groupBy("tile7", "line_id")

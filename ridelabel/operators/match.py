@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ridelabel.functions import tiles
 from ridelabel.functions.geometry import planar_dist
 from ridelabel.functions.timekeys import bucket
-from ridelabel.operators.index import STOP_FIELDS, candidate_lists, serving_stops, stop_tiles
+from ridelabel.operators.index import STOP_FIELDS
 from ridelabel.operators.skew import lookup
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
@@ -28,14 +28,10 @@ def _find(keyed: DataFrame, table: DataFrame, keys: list[str], master: MasterDat
     return lookup(keyed, table, keys, master.small, params.join_salts, spread)
 
 
-def near_stops(keyed: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+def near_stops(keyed: DataFrame, master: MasterData) -> DataFrame:
     """Every keypoint with each stop of its tile (1:n; no stop gives one null row)."""
-    placed = stop_tiles(master.stops, params).withColumns(
-        {"stop": F.struct(*STOP_FIELDS)}
-    ).select("tile7", "stop")
-    if master.small:
-        placed = F.broadcast(placed)
-    joined = keyed.join(placed, "tile7", "left")
+    placed = master.placed.select("tile7", F.struct(*STOP_FIELDS).alias("stop"))
+    joined = keyed.join(F.broadcast(placed) if master.small else placed, "tile7", "left")
     return joined.withColumn("dist", stop_distance(F.col("stop")))
 
 
@@ -45,7 +41,7 @@ def stop_distance(stop: Column) -> Column:
 
 def with_near_flag(keyed: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     """Add ``near``: whether the keypoint's tile has any stop."""
-    occupied = stop_tiles(master.stops, params).select("tile7").distinct().withColumn("_near", F.lit(True))
+    occupied = master.occupied.withColumn("_near", F.lit(True))
     found = _find(keyed, occupied, ["tile7"], master, params)
     return found.withColumn("near", F.coalesce("_near", F.lit(False))).drop("_near")
 
@@ -55,9 +51,8 @@ def with_candidates(keyed: DataFrame, master: MasterData, params: MatchParams) -
 
     A line carries ``has_zero`` when the keypoint may be its first stop.
     """
-    due = candidate_lists(master.index)
-    found = _find(keyed, due, ["tile7", "bucket"], master, params)
-    none = F.array().cast(due.schema["cands"].dataType)
+    found = _find(keyed, master.due, ["tile7", "bucket"], master, params)
+    none = F.array().cast(master.due.schema["cands"].dataType)
     return found.withColumn("cands", F.coalesce("cands", none))
 
 
@@ -68,12 +63,7 @@ def line_votes(has_zero: Column, params: MatchParams) -> Column:
 
 def with_line_details(labelled: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     """Add ``routeName`` and ``routeDetails`` of ``line_id``; an unknown line gets nulls."""
-    fields = [c for c in master.lines.columns if c != "line_id"]
-    details = master.lines.select(
-        "line_id", F.col("lineLabel").alias("routeName"), F.struct("line_id", *fields).alias("routeDetails")
-    )
-    rest = labelled.drop("routeName", "routeDetails")
-    return _find(rest, details, ["line_id"], master, params)
+    return _find(labelled.drop("routeName", "routeDetails"), master.details, ["line_id"], master, params)
 
 
 def with_nearest_serving_stop(labelled: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
@@ -83,8 +73,8 @@ def with_nearest_serving_stop(labelled: DataFrame, master: MasterData, params: M
     the row: no row is multiplied and nothing is grouped again. Equal distances
     are decided by IFOPT.
     """
-    table = serving_stops(master.stops, master.service, params)
-    found = _find(labelled.drop("stop_scheduleStop"), table, ["tile7", "line_id"], master, params)
+    rest = labelled.drop("stop_scheduleStop")
+    found = _find(rest, master.serving, ["tile7", "line_id"], master, params)
     ranked = F.transform(
         "serving",
         lambda s: F.struct(stop_distance(s).alias("dist"), s["IFOPT"].alias("id"), s.alias("stop")),

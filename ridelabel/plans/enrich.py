@@ -18,8 +18,12 @@ from ridelabel.sources.master import MasterData
 def collapse_waypoints(waypoints: DataFrame, params: MatchParams = MatchParams(),
                        chunked: bool = False) -> DataFrame:
     """Keypoints: one row per vehicle, session and run within a coarse tile."""
-    placed = with_cell(valid_positions(waypoints))
-    return collapse_runs(with_runs(placed, params, chunked))
+    rows = valid_positions(waypoints)
+    if not chunked:
+        # The windows need this placement anyway; computing tiles behind it keeps
+        # them out of the shuffle and spreads their cost over all tasks.
+        rows = rows.repartition("vehicle_id")
+    return collapse_runs(with_runs(with_cell(rows), params, chunked))
 
 
 def fold_lines(keypoints: DataFrame, master: MasterData, params: MatchParams,

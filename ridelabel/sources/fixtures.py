@@ -18,16 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 100 lowest part keys stand for places with stops."""
-    part = table(spark, sf_dir, "part")
-    lowest = part.agg(F.min("p_partkey").alias("first_key"))
-    return part.crossJoin(F.broadcast(lowest)).where("p_partkey < first_key + 100")
+def _places(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Lowest part key and number of the keys below it plus 100: the places with stops."""
+    keys = table(spark, sf_dir, "part").select("p_partkey")
+    lowest = keys.agg(F.min("p_partkey")).first()[0]
+    return lowest, keys.where(F.col("p_partkey") < lowest + 100).count()
 
 
 def fixture_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = _hub(spark, sf_dir).withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1))))
-    return both.selectExpr(
+    lowest, _ = _places(spark, sf_dir)
+    hub = table(spark, sf_dir, "part").where(F.col("p_partkey") < lowest + 100)
+    return hub.withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
         "p_partkey*2 + pf AS stop_id",
         "concat('S', p_partkey, if(pf = 0, 'a', 'b')) AS IFOPT",
         "p_name AS name",
@@ -50,17 +51,16 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _hub(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("m"))
+    lowest, count = _places(spark, sf_dir)
     calls = (
         fixture_lines(spark, sf_dir)
         .withColumn("seq", F.explode(F.sequence(F.lit(0), F.lit(9))))
         .withColumn("cyc", F.explode(F.sequence(F.lit(0), F.lit(27))))
         .where("k = 0 OR seq < 3 OR (seq > 7 AND line_id % 2 = 0)")
         .where("NOT (cyc = 9 AND line_id % 3 = 0)")
-        .crossJoin(F.broadcast(places))
         .selectExpr(
             "line_id", "CAST(seq AS BIGINT) AS seq",
-            "(m + ((line_id % 100)*3 + seq) % n)*2 + line_id % 2 AS stop_id",
+            f"({lowest} + ((line_id % 100)*3 + seq) % {count})*2 + line_id % 2 AS stop_id",
             "CAST((((line_id % 100) % 4)*5 + seq*5 + cyc*50)*60 AS BIGINT) AS dep_sec",
         )
     )
@@ -69,7 +69,7 @@ def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = _hub(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("m"))
+    lowest, count = _places(spark, sf_dir)
     e = table(spark, sf_dir, "events").selectExpr(
         "event_id", "user_id", "event_type",
         "CAST(get_json_object(props, '$.k') AS INT) AS kk",
@@ -78,7 +78,7 @@ def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.selectExpr("*", "((t_us div 1000000 + 3600) % 86400) div 60 AS lmin")
     e = e.selectExpr("*", "(user_id + lmin div 38) % 25 AS ln")
     e = e.selectExpr("*", "((lmin - (ln % 4)*5) div 5) % 10 AS sq")
-    e = e.crossJoin(F.broadcast(places)).selectExpr("*", "m + (ln*3 + sq) % n AS place", "(kk % 7 = 0) AS off")
+    e = e.selectExpr("*", f"{lowest} + (ln*3 + sq) % {count} AS place", "(kk % 7 = 0) AS off")
     return e.selectExpr(
         "event_id AS seq_no",
         "user_id AS vehicle_id",

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridelabel.functions import tiles
-from ridelabel.operators.index import line_index, nested_departures, service_table
+from ridelabel.operators.index import (
+    candidate_lists,
+    line_index,
+    nested_departures,
+    service_table,
+    serving_stops,
+    stop_tiles,
+)
 from ridelabel.params import MatchParams
 
 DEPARTURE = "STRUCT<line_id STRING, seq INT, dep_sec BIGINT>"
@@ -28,19 +36,21 @@ LINE_SCHEMA = (
 
 @dataclass(frozen=True)
 class MasterData:
-    """Everything the matcher looks up.
-
-    stops     name, longitude, latitude, IFOPT, direction, ref_name, pos
-    lines     line_id, lineLabel, ...
-    index     tile7, bucket, line_id, seq
-    service   IFOPT, line_id
-    small     every table counted and within ``broadcast_rows``
+    """The tables the matcher looks up, each with one row per key.
+
+    occupied  tile7
+    due       tile7, bucket -> cands (lines due, with has_zero)
+    details   line_id -> routeName, routeDetails
+    serving   tile7, line_id -> serving (stops)
+    placed    every stop with its tile7
+    small     all sources counted and within ``broadcast_rows``
     """
 
-    stops: DataFrame
-    lines: DataFrame
-    index: DataFrame
-    service: DataFrame
+    occupied: DataFrame
+    due: DataFrame
+    details: DataFrame
+    serving: DataFrame
+    placed: DataFrame
     small: bool
 
     @classmethod
@@ -51,23 +61,49 @@ class MasterData:
         Index and service have at most two rows per departure, so counting the
         three sources bounds every table derived from them.
         """
-        return cls(
-            stops, lines, line_index(departures, stops, params), service_table(departures),
-            small=within(params.broadcast_rows, stops, lines, departures),
-        )
+        small = within(params.broadcast_rows, stops, lines, departures)
+        return cls._build(stops, lines, line_index(departures, stops, params), service_table(departures),
+                          small, params)
 
     @classmethod
     def from_index(cls, stops: DataFrame, lines: DataFrame, index: DataFrame,
                    params: MatchParams) -> "MasterData":
         """Use a ready-made index; stops carry their ``plannedDepartures``."""
         service = service_table(nested_departures(stops))
-        return cls(stops, lines, index, service,
-                   small=within(params.broadcast_rows, stops, lines, index, service))
+        small = within(params.broadcast_rows, stops, lines, index, service)
+        return cls._build(stops, lines, index, service, small, params)
+
+    @classmethod
+    def _build(cls, stops, lines, index, service, small: bool, params: MatchParams) -> "MasterData":
+        placed = stop_tiles(stops, params)
+        return cls(
+            placed.select("tile7").distinct(), candidate_lists(index), line_details(lines),
+            serving_stops(placed, service), placed, small,
+        )
+
+    def persisted(self) -> "MasterData":
+        """The same tables kept by Spark, for callers that match more than once."""
+        kept = {f.name: getattr(self, f.name) for f in fields(self)}
+        return MasterData(**{k: v.persist() if isinstance(v, DataFrame) else v for k, v in kept.items()})
+
+    def unpersist(self) -> None:
+        for f in fields(self):
+            if isinstance(getattr(self, f.name), DataFrame):
+                getattr(self, f.name).unpersist()
+
+
+def line_details(lines: DataFrame) -> DataFrame:
+    """Label and full details of each line."""
+    rest = [c for c in lines.columns if c != "line_id"]
+    return lines.select(
+        "line_id", F.col("lineLabel").alias("routeName"), F.struct("line_id", *rest).alias("routeDetails")
+    )
 
 
 def within(max_rows: int, *tables: DataFrame) -> bool:
-    """Whether each table has at most ``max_rows`` rows (counted one after the other)."""
-    return all(table.count() <= max_rows for table in tables)
+    """Whether each table has at most ``max_rows`` rows (one job counts them all)."""
+    counts = [t.agg(F.count(F.lit(1)).alias("n")) for t in tables]
+    return reduce(DataFrame.unionAll, counts).agg(F.max("n")).first()[0] <= max_rows
 
 
 def load_stops(spark: SparkSession, path: str) -> DataFrame:

@@ -35,7 +35,7 @@ def enrich_stream(waypoints: DataFrame, master: MasterData, sink: dict[str, str]
     ``close="event_time"`` ends sessions by watermark and gives what the batch job
     gives; ``close="silence"`` ends them when a vehicle falls silent. Each
     micro-batch of complete sessions runs through the same ``enrich`` as stored
-    data. Session and run numbers count within a micro-batch.
+    data; pass ``master.persisted()`` so that its tables are derived once. Session and run numbers count within a micro-batch.
     """
     if close == "event_time":
         complete = close_by_event_time(waypoints, params)

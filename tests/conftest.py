@@ -8,7 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ridelabel.params import MatchParams  # noqa: E402
 from ridelabel.session import build_session  # noqa: E402
 from ridelabel.sources.fixtures import fixture_master, fixture_waypoints  # noqa: E402
-from ridelabel.sources.master import MasterData  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,9 +24,7 @@ def spark():
 @pytest.fixture(scope="session")
 def master(spark, sf_dir):
     """The derived timetable, kept in memory: many tests look it up."""
-    bundle = fixture_master(spark, sf_dir, MatchParams())
-    kept = [t.persist() for t in (bundle.stops, bundle.lines, bundle.index, bundle.service)]
-    return MasterData(*kept, small=bundle.small)
+    return fixture_master(spark, sf_dir, MatchParams()).persisted()
 
 
 @pytest.fixture(scope="session")
