@@ -1,4 +1,10 @@
-"""Routes, stops and selections out of OpenStreetMap elements."""
+"""Routes, stops and selections out of OpenStreetMap elements.
+
+References meet the elements they name in shuffle joins on the element id. A node
+or way that very many others refer to makes a skewed partition on one side only,
+which adaptive execution splits; each group collected afterwards is one way's
+nodes or one relation's members.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelabel.functions.geometry import point
-from ridelabel.operators.skew import join_unique
 
 # Route tag values, upper-cased, that are public transport products.
 PRODUCTS = [
     "BUS", "TRAM", "SUBWAY", "TRAIN", "FERRY", "LIGHT_RAIL", "TROLLEYBUS", "MONORAIL",
     "FUNICULAR", "AERIALWAY",
 ]
-# References to one element beyond this count are joined by broadcast.
-HOT_REFERENCES = 1_000_000
 
 _ELEMENT = ["doc", "pos"]
 
@@ -48,7 +51,7 @@ def way_lines(elements: DataFrame, wanted: DataFrame) -> DataFrame:
     """Polyline of each wanted way (``ref``); missing nodes and single points drop out."""
     ways = _latest(elements, "way", F.col("nodes")).join(wanted.select("ref").distinct(), "ref", "left_semi")
     steps = ways.select(F.col("ref").alias("way"), F.posexplode("value").alias("at", "ref"))
-    placed = join_unique(steps, node_points(elements), "ref", HOT_REFERENCES)
+    placed = steps.join(node_points(elements), "ref")
     lines = placed.groupBy(F.col("way").alias("ref")).agg(_in_order(F.struct("at", "value")).alias("value"))
     return lines.where(F.size("value") > 1)
 
@@ -96,8 +99,8 @@ def osm_routes(elements: DataFrame) -> DataFrame:
     members = route_members(relations)
     of_nodes = members.where(F.col("kind").isin("stopNodes", "platformsNodes"))
     of_ways = members.where(F.col("kind").isin("platformWays", "route"))
-    points = join_unique(of_nodes, node_points(elements), "ref", HOT_REFERENCES)
-    lines = join_unique(of_ways, way_lines(elements, of_ways), "ref", HOT_REFERENCES)
+    points = of_nodes.join(node_points(elements), "ref")
+    lines = of_ways.join(way_lines(elements, of_ways), "ref")
     placed = points.select(*_ELEMENT, "kind", F.struct("at", "value").alias("p")).unionByName(
         lines.select(*_ELEMENT, "kind", F.struct("at", "value").alias("l")), allowMissingColumns=True
     )

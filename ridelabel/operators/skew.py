@@ -8,43 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
-    """Keys of ``df`` with more than ``max_rows`` rows as column ``_hot``, or None.
+def split_hot(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of keys with more than ``max_rows`` rows (or None).
 
-    One narrow pass with map-side counts. There are at most ``rows / max_rows`` such
-    keys, which bounds a broadcast of them.
+    One narrow pass with map-side counts finds the hot keys. There are at most
+    ``rows / max_rows`` of them, which bounds the broadcast.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_hot"))
-    return None if hot.isEmpty() else F.broadcast(cut_lineage(hot))
-
-
-def split_hot(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of hot keys (or None)."""
-    hot = hot_keys(df, key, max_rows)
-    if hot is None:
+    if hot.isEmpty():
         return df, None
+    hot = F.broadcast(cut_lineage(hot))
     same = df[key].eqNullSafe(hot["_hot"])
     return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
-def join_unique(big: DataFrame, small: DataFrame, key: str, max_rows: int) -> DataFrame:
-    """Inner join to a large table with one row per ``key``.
-
-    Rows of ``big`` whose key is hot meet the few matching rows of ``small`` by
-    broadcast; all others are joined by shuffle.
-    """
-    hot = hot_keys(big, key, max_rows)
-    if hot is None:
-        return big.join(small, key)
-    is_hot = big[key] == hot["_hot"]
-    few = small.join(hot, small[key] == hot["_hot"], "left_semi")
-    return (
-        big.join(hot, is_hot, "left_anti").join(small, key)
-        .unionByName(big.join(hot, is_hot, "left_semi").join(F.broadcast(few), key))
-    )
-
-
 def lookup(big: DataFrame, small: DataFrame, keys: list[str], broadcast: bool, salts: int,
            spread: list[Column]) -> DataFrame:
     """Left join to a table with at most one row per key.

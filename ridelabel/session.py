@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the caller of every column expression multiplies planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # HotSpot does not compile methods over 8000 bytes; let Spark split such stages.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keypoint aggregation keeps small lists per run; the default of 128 keys

@@ -25,8 +25,8 @@ def _places(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return lowest, keys.where(F.col("p_partkey") < lowest + 100).count()
 
 
-def fixture_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lowest, _ = _places(spark, sf_dir)
+def fixture_stops(spark: SparkSession, sf_dir: str, places: tuple[int, int] | None = None) -> DataFrame:
+    lowest, _ = places or _places(spark, sf_dir)
     hub = table(spark, sf_dir, "part").where(F.col("p_partkey") < lowest + 100)
     return hub.withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
         "p_partkey*2 + pf AS stop_id",
@@ -50,8 +50,8 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lowest, count = _places(spark, sf_dir)
+def fixture_departures(spark: SparkSession, sf_dir: str, places: tuple[int, int] | None = None) -> DataFrame:
+    lowest, count = places = places or _places(spark, sf_dir)
     calls = (
         fixture_lines(spark, sf_dir)
         .withColumn("seq", F.explode(F.sequence(F.lit(0), F.lit(9))))
@@ -64,7 +64,7 @@ def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CAST((((line_id % 100) % 4)*5 + seq*5 + cyc*50)*60 AS BIGINT) AS dep_sec",
         )
     )
-    ids = fixture_stops(spark, sf_dir).select("stop_id", "IFOPT")
+    ids = fixture_stops(spark, sf_dir, places).select("stop_id", "IFOPT")
     return calls.join(ids, "stop_id").select("line_id", "seq", "stop_id", "IFOPT", "dep_sec")
 
 
@@ -99,9 +99,10 @@ def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_master(spark: SparkSession, sf_dir: str, params: MatchParams) -> MasterData:
+    places = _places(spark, sf_dir)
     return MasterData.from_timetable(
-        fixture_stops(spark, sf_dir), fixture_lines(spark, sf_dir),
-        fixture_departures(spark, sf_dir), params,
+        fixture_stops(spark, sf_dir, places), fixture_lines(spark, sf_dir),
+        fixture_departures(spark, sf_dir, places), params,
     )
 
 

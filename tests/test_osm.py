@@ -62,12 +62,6 @@ def test_routes(elements):
     assert (second.lineLabel, second.textRouteDirection, second.color, second.transportProduct) == ("6", "Plain", "blue", "TRAM")
 
 
-def test_routes_with_hot_references(elements, monkeypatch):
-    want = osm.osm_routes(elements).collect()
-    monkeypatch.setattr(osm, "HOT_REFERENCES", 1)
-    assert sorted(map(repr, osm.osm_routes(elements).collect())) == sorted(map(repr, want))
-
-
 def test_stops(elements):
     nodes = elements.where("type = 'node'")
     rows = [(r.name, r.ref_name, r.longitude, r.direction) for r in osm.osm_stops(nodes).orderBy("pos").collect()]
