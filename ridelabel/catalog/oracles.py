@@ -261,7 +261,7 @@ from nodes where not bare and (name is null or name <> '')""",
         "stop_direction": """select p_partkey as pos, p_type as name,
   case when row_number() over (partition by p_type order by p_partkey) = 1 then 'a' else 'b' end as direction from part""",
         "osm_select": _OSM_BASE + """,
-inside as (select id from nodes where lat between 49.2 and 49.4 and lon between 11.1 and 11.3),
+inside as (select id from nodes where lat between 49.05 and 49.4 and lon between 11.05 and 11.3),
 hitways as (select distinct way as id from wn where node in (select id from inside))
 select 'node' as type, id from nodes where not bare and (bus_stop or (platform and bus)) and id in (select id from inside)
 union select 'way', id from hitways where id % 5 = 2

@@ -310,7 +310,7 @@ SELECTIONS = (
     osm.Selection(("node",), {"public_transport": "platform", "bus": "yes"}),
     osm.Selection(("way", "relation"), {"network": "N2", "type": "route", "route": "bus"}),
 )
-BOX = osm.BBox(49.2, 11.1, 49.4, 11.3)
+BOX = osm.BBox(49.05, 11.05, 49.4, 11.3)
 
 
 def osm_select(spark, sf):

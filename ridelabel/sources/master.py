@@ -25,6 +25,8 @@ STOP_SCHEMA = (
     "name STRING, longitude DOUBLE, latitude DOUBLE, IFOPT STRING, direction STRING, "
     f"ref_name STRING, plannedDepartures ARRAY<{DEPARTURE}>"
 )
+# Fixed value: mark of index keys that are not used.
+LOWER_BUCKET = "type=lower"
 _POINT = "STRUCT<lon DOUBLE, lat DOUBLE>"
 LINE_SCHEMA = (
     "lineLabel STRING, lineRef STRING, textRouteDirection STRING, `from` STRING, `to` STRING, "
@@ -151,7 +153,7 @@ def parse_line_index(entries: DataFrame) -> DataFrame:
 
     Keys of the lower time bucket are left out: a bus is never early.
     """
-    kept = entries.where(~F.col("key").contains("type=lower"))
+    kept = entries.where(~F.col("key").contains(LOWER_BUCKET))
     refs = kept.select("key", F.explode("value").alias("_ref"))
     value = F.split("_ref", "#")
     return _parse_key(refs).select(
