@@ -13,7 +13,6 @@ class MatchParams:
     detection_gap_seconds: int = 60
     watermark_ms: int = 300
     run_tile_chars: int = 8
-    fine_tile_chars: int = 12
     stop_tile_chars: int = 7
     bucket_minutes: int = 5
     zone: str = "Europe/Berlin"

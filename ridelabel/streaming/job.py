@@ -53,7 +53,8 @@ def enrich_stream(waypoints: DataFrame, master: MasterData, sink: dict[str, str]
             batch.unpersist()
 
     writer = complete.writeStream.foreachBatch(label).outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
+    regular = {"processingTime": f"{params.idle_flush_seconds} seconds"}
+    return writer.trigger(**(trigger or regular)).start()
 
 
 def late_rows(query: StreamingQuery) -> int:
