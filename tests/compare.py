@@ -53,7 +53,7 @@ if __name__ == "__main__":
     con = connect(sf_dir)
     sqls = entry.oracle_sql()
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if name not in sqls or names and name not in names:
             continue
         start = time.time()
         try:
