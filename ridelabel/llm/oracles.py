@@ -51,6 +51,23 @@ from w left join h on h.doc_id = w.doc_id left join t on t.doc_id = w.doc_id
 """
 
 
+_NEAR = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') w from documents),
+s as (
+  select distinct doc_id, case when len(w) = 1 then w[1] else w[i] || ' ' || w[i + 1] end s
+  from (select *, unnest(range(1, greatest(2, len(w)))) i from d where len(w) > 0)),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+e as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+r as (select doc_id x, doc_id y from d union select r.x, e.y from r join e on e.x = r.y),
+m as (select x, min(y) c from r group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, m.c component_id, d.doc_id = m.c kept
+from d join m on m.x = d.doc_id left join n on n.doc_id = d.doc_id
+"""
+
+
 def _mixing(plan: Curriculum = Curriculum()) -> str:
     weights = ", ".join(f"{float(w)!r}::double" for w in plan.weights)
 
@@ -104,4 +121,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": _LINES,
         "op7_mixing": _mixing(),
         "op8_decontamination": _DECONTAMINATION,
+        "op10_near_duplicates": _NEAR,
     }

@@ -11,6 +11,7 @@ from ridelabel.llm.common import read
 from ridelabel.llm.decontaminate import decontaminate
 from ridelabel.llm.exact_dedup import exact_dedup
 from ridelabel.llm.line_dedup import line_dedup
+from ridelabel.llm.minhash import near_duplicates
 from ridelabel.llm.mixing import mix
 
 
@@ -33,10 +34,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
+        "op10_near_duplicates": op10_near_duplicates,
     }
