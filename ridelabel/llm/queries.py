@@ -10,15 +10,25 @@ from pyspark.sql import functions as F
 from ridelabel.llm.common import read
 from ridelabel.llm.decontaminate import decontaminate
 from ridelabel.llm.exact_dedup import exact_dedup
+from ridelabel.llm.langid import identify
 from ridelabel.llm.line_dedup import line_dedup
 from ridelabel.llm.minhash import near_duplicates
 from ridelabel.llm.mixing import mix
+from ridelabel.llm.quality import quality
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup(read(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -41,6 +51,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_quality": op3_quality,
+        "op4_language": op4_language,
         "op5_line_dedup": op5_line_dedup,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
