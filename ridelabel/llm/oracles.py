@@ -3,9 +3,49 @@
 from __future__ import annotations
 
 from ridelabel.llm.mixing import Curriculum
+from ridelabel.llm.urls import LONG_SUFFIXES, RULES, ReputationParams
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+def _urls(rules=RULES, params: ReputationParams = ReputationParams()) -> str:
+    cases = [
+        (f"(host = '{own}' or ends_with(host, '.{own}')) and starts_with(path, '{slash + rest}')", rule, what)
+        for (rule, what) in sorted(rules, key=lambda r: (len(r[0]), r[0]), reverse=True)
+        for own, slash, rest in [rule.partition("/")]]
+    name = " ".join(f"when {fits} then '{rule}'" for fits, rule, _ in cases)
+    verdict = " ".join(f"when {fits} then '{what}'" for fits, _, what in cases)
+    long = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
+
+    def level(name: str, table: str, by: str) -> str:
+        rho = ("(sum((k - n * prior) ** 2) - sum(n * prior * (1 - prior))) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0)")
+        return f"""{name}_m as (select case when {rho} > 0 then least(greatest(1 / ({rho}) - 1, {params.weakest}), {params.strongest})
+    else {params.strongest} end m from {table}),
+{name} as (select {table}.*, (k + m * prior) / (n + m) rate, m from {table}, {name}_m)"""
+
+    return f"""
+with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end rest from pages),
+p as (select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from u),
+o as (select host, (coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1)::int bad from p join labels on doc_id = page_id),
+h0 as (select host, sum(bad)::double k, count(*)::double n, string_split(host, '.') l from o group by host),
+h1 as (select *, array_to_string(l[greatest(len(l) - 1, 1):greatest(len(l), 1)], '.') two from h0),
+h as (select host, k, n,
+  case when two in ({long}) and len(l) > 2 then array_to_string(l[len(l) - 2:len(l)], '.') else two end as dom,
+  case when two in ({long}) and len(l) > 2 then two else l[len(l)] end as suf from h1),
+d as (select dom, suf, sum(k) k, sum(n) n from h group by all),
+s as (select suf, sum(k) k, sum(n) n, (select sum(k) / sum(n) from h) prior from d group by suf),
+{level("sx", "s", "suf")},
+dp as (select d.*, sx.rate prior from d join sx using (suf)),
+{level("dx", "dp", "dom")},
+hp as (select h.*, dx.rate prior from h join dx using (dom)),
+{level("hx", "hp", "host")},
+b as (select host from hx where rate - {params.z} * sqrt(rate * (1 - rate) / (n + m + 1)) > {params.limit})
+select page_id, host, path, case {name} end as "rule",
+  coalesce(case {verdict} end, case when host in (select host from b) then 'block' else 'allow' end) verdict
+from p
+"""
+
+
 _EXACT = rf"""
 with d as (select doc_id, coalesce(text, '') t from documents),
 n as (select doc_id, length(t) n, translate(t, {_WHITE}, '') k from d)
@@ -117,6 +157,7 @@ from y
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_url_filter": _urls(),
         "op2_exact_dedup": _EXACT,
         "op5_line_dedup": _LINES,
         "op7_mixing": _mixing(),

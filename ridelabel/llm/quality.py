@@ -264,9 +264,9 @@ def _by_language(rows: DataFrame, params: QualityParams, *aggregates: Column) ->
 def _with_language(rows: DataFrame, table: DataFrame, value: str) -> DataFrame:
     """`value` of the row's language, or that for all. The table has a row per language: it is broadcast."""
     own = table.where("lang is not null").select(F.col("lang").alias("_lang"), F.col(value).alias("_own"))
-    every = table.where("lang is null").select(F.col(value).alias("_all"))
-    joined = rows.join(F.broadcast(own), F.col("lang") == F.col("_lang"), "left").join(F.broadcast(every), how="left")
-    return joined.withColumn(value, F.coalesce("_own", "_all")).drop("_lang", "_own", "_all")
+    every = table.where("lang is null").select(value).first()
+    joined = rows.join(F.broadcast(own), F.col("lang") == F.col("_lang"), "left")
+    return joined.withColumn(value, F.coalesce("_own", F.lit(every[0] if every else None).cast("double"))).drop("_lang", "_own")
 
 
 def thresholds(scored: DataFrame, params: QualityParams) -> DataFrame:

@@ -10,11 +10,21 @@ from pyspark.sql import functions as F
 from ridelabel.llm.common import read
 from ridelabel.llm.decontaminate import decontaminate
 from ridelabel.llm.exact_dedup import exact_dedup
+from ridelabel.llm.html_text import main_text
 from ridelabel.llm.langid import identify
 from ridelabel.llm.line_dedup import line_dedup
 from ridelabel.llm.minhash import near_duplicates
 from ridelabel.llm.mixing import mix
 from ridelabel.llm.quality import quality
+from ridelabel.llm.urls import judge_urls
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is what `labels` says under its number: bad if of low quality or toxic."""
+    labels = read(spark, sf_dir, "labels")
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
+    return judge_urls(read(spark, sf_dir, "pages"), outcomes)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +44,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"))
 
@@ -50,10 +64,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_quality": op3_quality,
         "op4_language": op4_language,
         "op5_line_dedup": op5_line_dedup,
+        "op6_main_text": op6_main_text,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
         "op10_near_duplicates": op10_near_duplicates,
