@@ -15,6 +15,7 @@ from ridelabel.llm.langid import identify
 from ridelabel.llm.line_dedup import line_dedup
 from ridelabel.llm.minhash import near_duplicates
 from ridelabel.llm.mixing import mix
+from ridelabel.llm.pii import KINDS, find_pii, listed
 from ridelabel.llm.quality import quality
 from ridelabel.llm.urls import judge_urls
 
@@ -58,6 +59,18 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), "contaminated")
 
 
+def _is(kind: int) -> Callable:
+    return lambda s: s["kind"] == kind
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_pii(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter(base, _is(i))).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    return rows.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -72,5 +85,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_main_text": op6_main_text,
         "op7_mixing": op7_mixing,
         "op8_decontamination": op8_decontamination,
+        "op9_pii": op9_pii,
         "op10_near_duplicates": op10_near_duplicates,
     }
