@@ -32,6 +32,8 @@ class QualityParams:
     factor: float = 1.02
     enough: int = 20
     prior: float = 200.0
+    #: One in so many trusted texts (by a hash of the id) is not learned from but gives the quantiles.
+    held_out: int = 2
 
 
 def characters(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,8 +299,8 @@ def quality(
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, lang, `extra` columns, perplexity, smoothed, threshold, kept.
 
-    The model is trained on the whole text of every document that `labels` (doc_id, quality)
-    call good. A document's perplexity is per character, over its whole text; it is
+    The documents that `labels` (doc_id, quality) call good are trusted. The model is trained on the
+    whole texts of half of them; the others, which it has not seen, give the quantiles. A document's perplexity is per character, over its whole text; it is
     kept unless that, smoothed towards its language's usual one, is above the language's threshold. Null and empty texts have no perplexity and
     are not kept. A null or rare language uses the threshold of all trusted texts. Without trusted
     texts there are no thresholds, and everything with text is kept. Rows that repeat an id are
@@ -309,17 +311,18 @@ def quality(
     most `round_rows` rows, and what the rounds give for a document is added up.
     """
     trusted = stored(trusted_ids(labels))
-    training = docs.join(trusted, "doc_id", "left_semi")
-    model = language_model(training.select(F.col("text").cast("binary")))
-    keep = list(dict.fromkeys(["doc_id", "lang", *extra]))
-    scored = stored(perplexities(docs, model, keep, round_rows=round_rows))
-    good = scored.where("n > 0").join(trusted, "doc_id", "left_semi").select("lang", "n", "log_sum")
+    apart = F.crc32(F.col("doc_id").cast("string").cast("binary")) % params.held_out == 0
+    model = language_model(docs.join(trusted.where(~apart), "doc_id", "left_semi").select(F.col("text").cast("binary")))
+    unseen = docs.join(trusted.where(apart), "doc_id", "left_semi")
+    good = stored(perplexities(unseen, model, ["lang"], round_rows=round_rows).where("n > 0"))
     usual = _by_language(good, params, (-F.sum("log_sum") / F.sum("n")).alias("usual"))
 
     def smoothed(rows: DataFrame) -> DataFrame:
         value = F.exp((-F.col("log_sum") + params.prior * F.col("usual")) / (F.col("n") + params.prior))
         return _with_language(rows, usual, "usual").withColumn("smoothed", F.when(F.col("n") > 0, value))
 
+    keep = list(dict.fromkeys(["doc_id", "lang", *extra]))
+    scored = perplexities(docs, model, keep, round_rows=round_rows)
     rows = _with_language(smoothed(scored), thresholds(smoothed(good), params), "threshold")
     kept = (F.col("n") > 0) & F.coalesce(F.col("smoothed") <= F.col("threshold"), F.lit(True))
     perplexity = F.when(F.col("n") > 0, F.exp(-F.col("log_sum") / F.col("n")))
