@@ -5,32 +5,32 @@ from __future__ import annotations
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 _BASE = [
-    ("hub", "select p_partkey, p_name from part where p_partkey < (select min(p_partkey) from part) + 100"),
+    ("hub", "select p_partkey, p_name from part"),
     ("stops", """
 select p_partkey*2+pf as stop_id, 'S'||p_partkey||(case pf when 0 then 'a' else 'b' end) as ifopt, p_name as stop_name,
-  (101900 + p_partkey // 40 + 0.5625::double) * (180::double/131072) - 90 as lat,
-  (137700 + p_partkey % 40 + 0.3125::double + 0.5::double*pf) * (360::double/262144) - 180 as lon
+  (90000 + (p_partkey // 1000) % 40000 + 0.5625::double) * (180::double/131072) - 90 as lat,
+  (137700 + p_partkey % 1000 + 0.3125::double + 0.5::double*pf) * (360::double/262144) - 180 as lon
 from hub, (select unnest([0,1]) as pf)"""),
     ("lines", """
-select n_nationkey + k*100 as line_id, (case k when 0 then 'L' else 'X' end) || n_nationkey as line_label, n_name as route_to, k
-from nation, (select unnest([0,1]) as k)"""),
+select s_suppkey*2 + k as line_id, (case k when 0 then 'L' else 'X' end) || s_suppkey as line_label, s_name as route_to, k
+from supplier, (select unnest([0,1]) as k)"""),
     ("departures", """
 select l.line_id::bigint as line_id, q.seq::bigint as seq, st.stop_id, st.ifopt,
-  ((((l.line_id % 100) % 4)*5 + q.seq*5 + c.cyc*50)*60)::bigint as dep_sec
+  ((((l.line_id // 2) % 4)*5 + q.seq*5 + c.cyc*50)*60)::bigint as dep_sec
 from lines l, (select unnest(range(0,10)) as seq) q, (select unnest(range(0,28)) as cyc) c,
   (select count(*) n, min(p_partkey) m from hub) z, stops st
-where (l.k = 0 or q.seq < 3 or (q.seq > 7 and l.line_id % 2 = 0)) and not (c.cyc = 9 and l.line_id % 3 = 0)
-  and st.stop_id = (z.m + ((l.line_id % 100)*3 + q.seq) % z.n)*2 + l.line_id % 2"""),
+where (l.k = 0 or q.seq < 3 or (q.seq > 7 and (l.line_id // 2) % 2 = 0)) and not (c.cyc = 9 and l.line_id % 3 = 0)
+  and st.stop_id = (z.m + ((l.line_id // 2)*3 + q.seq) % z.n)*2 + (l.line_id // 2) % 2"""),
     ("waypoints", """
 with e as (select event_id, user_id, event_type, value, cast(json_extract(props,'$.k') as int) as kk,
     1704085200000000 + (epoch_us(ts) - 1704067200000000) // 256 as t_us from events),
 o as (select *, ((t_us // 1000000 + 3600) % 86400) // 60 as lmin from e),
-p as (select *, (user_id + lmin // 38) % 25 as ln from o),
+p as (select *, (select min(s_suppkey) from supplier) + (user_id + lmin // 38) % (select count(*) from supplier) as ln from o),
 q as (select *, ((lmin - (ln % 4)*5) // 5) % 10 as sq from p),
 r as (select *, (select min(p_partkey) from hub) + (ln*3 + sq) % (select count(*) from hub) as pos, (kk % 7 = 0) as off from q)
 select event_id as seq_no, user_id as vehicle_id, t_us,
-  case when kk % 19 = 0 then null else (101900 + pos // 40 + (case when off then 500 else 0 end) + 0.5::double + (kk % 4) / 64::double) * (180::double/131072) - 90 end as lat,
-  (137700 + pos % 40 + 0.375::double + (kk % 3) / 64::double + (case when kk % 11 = 0 then 0.5::double else 0 end)) * (360::double/262144) - 180 as lon,
+  case when kk % 19 = 0 then null else (90000 + (pos // 1000) % 40000 + 0.5::double + (kk % 4) / 64::double) * (180::double/131072) - 90 end as lat,
+  (137700 + pos % 1000 + (case when off then 20000 else 0 end) + 0.375::double + (kk % 3) / 64::double + (case when kk % 11 = 0 then 0.5::double else 0 end)) * (360::double/262144) - 180 as lon,
   case when event_type in ('purchase','signup') then 'PLANNEDSTOP' else 'LOCATION' end as event_type,
   event_type as event_subtype, 'p' || (event_id % 8) as ingestion_partition,
   case when event_type = 'signup' then 'N' || kk when event_type = 'view' then '' end as stop_name,

@@ -19,7 +19,9 @@ def with_cell(waypoints: DataFrame) -> DataFrame:
 
 
 def chunk_of(time: str, params: MatchParams):
-    return F.floor(F.unix_micros(time) / F.lit(params.chunk_seconds * 1_000_000))
+    """Number of the time chunk. Rows without time come first in every order; so does their chunk."""
+    chunk = F.floor(F.unix_micros(time) / F.lit(params.chunk_seconds * 1_000_000))
+    return F.coalesce(chunk, F.lit(-(1 << 60)))
 
 
 def with_runs(waypoints: DataFrame, params: MatchParams, chunked: bool = False) -> DataFrame:
@@ -64,7 +66,7 @@ def _runs_in_chunks(rows: DataFrame, params: MatchParams) -> DataFrame:
     new_session, new_run = _flags(
         F.col("time"), F.col("_tile"), F.lag("time").over(order), F.lag("_tile").over(order), params
     )
-    first = F.lag("seq_no").over(order).isNull()
+    first = F.row_number().over(order) == 1
     flagged = rows.withColumns({
         "_s": F.when(first, 0).otherwise(new_session.cast("bigint")),
         "_r": F.when(first, 0).otherwise(new_run.cast("bigint")),

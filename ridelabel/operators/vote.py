@@ -13,6 +13,10 @@ from ridelabel.operators.sessions import chunk_of
 from ridelabel.params import MatchParams
 
 
+#: The part of rows before any cut; below every chunk number.
+NO_PART = -(1 << 61)
+
+
 def vote_group(params: MatchParams) -> list[str]:
     """Columns whose rows share one vote."""
     group = ["vehicle_id", "part"]
@@ -31,7 +35,7 @@ def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) ->
     """
     certain = params.first_stop_votes >= params.single_min_votes <= 2 * params.other_stop_votes
     if not chunked or not certain:
-        return steps.withColumn("part", F.lit(-1).cast("bigint"))
+        return steps.withColumn("part", F.lit(NO_PART).cast("bigint"))
 
     rows = steps.withColumn("_chunk", chunk_of("time", params))
     order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
@@ -65,7 +69,7 @@ def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) ->
     carried = summary.select(
         F.col("vehicle_id").alias("_v"), F.col("_chunk").alias("_c"),
         F.coalesce(
-            F.last(F.when(F.col("_has_cut"), F.col("_chunk")), ignorenulls=True).over(earlier), F.lit(-1)
+            F.last(F.when(F.col("_has_cut"), F.col("_chunk")), ignorenulls=True).over(earlier), F.lit(NO_PART)
         ).cast("bigint").alias("_carried"),
     )
     rows = rows.withColumn("_seen", seen)

@@ -30,10 +30,9 @@ def fold_lines(keypoints: DataFrame, master: MasterData, params: MatchParams,
                chunked: bool = False) -> DataFrame:
     """Keypoints with the line decided at each (``det``); keys kept for later joins."""
     keyed = match.place_time_keys(keypoints, params)
-    found = match.with_candidates(match.with_near_flag(keyed, master, params), master, params)
-    none = F.array().cast(found.schema["cands"].dataType)
-    gated = found.withColumn("cands", F.when(F.col("near"), F.col("cands")).otherwise(none)).drop("near", "bucket")
-    return vote.vote_fold(vote.with_parts(gated, params, chunked), params)
+    # Every tile of the index has a stop (see MasterData), so a due line implies one near.
+    found = match.with_candidates(keyed, master, params).drop("bucket")
+    return vote.vote_fold(vote.with_parts(found, params, chunked), params)
 
 
 def label_lines(keypoints: DataFrame, master: MasterData, params: MatchParams,
@@ -46,9 +45,10 @@ def match_lines(keypoints: DataFrame, master: MasterData, params: MatchParams =
                 chunked: bool = False) -> DataFrame:
     """Keypoints labelled with line, route details and nearest serving stop."""
     labelled = label_lines(keypoints, master, params, chunked)
-    detailed = match.with_line_details(labelled, master, params)
-    stopped = match.with_nearest_serving_stop(detailed, master, params)
-    return match.with_stop_naming(stopped).drop("tile7", "part", "at_start")
+    # Route details are wide: they come last, behind the stop lookup.
+    stopped = match.with_nearest_serving_stop(labelled, master, params)
+    detailed = match.with_line_details(stopped, master, params)
+    return match.with_stop_naming(detailed).drop("tile7", "part", "at_start")
 
 
 def enrich(waypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams(),

@@ -6,7 +6,7 @@ tables, so the waypoints grow with ``events``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelabel.operators.collapse import DOORS
@@ -18,22 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """Lowest part key and number of the keys below it plus 100: the places with stops."""
-    keys = table(spark, sf_dir, "part").select("p_partkey")
-    lowest = keys.agg(F.min("p_partkey")).first()[0]
-    return lowest, keys.where(F.col("p_partkey") < lowest + 100).count()
+def _bounds(spark: SparkSession, sf_dir: str, name: str, key: str) -> tuple[Column, Column]:
+    """Lowest key and number of rows of a table, as scalar subqueries."""
+    keys = table(spark, sf_dir, name)
+    return keys.agg(F.min(key)).scalar(), keys.agg(F.count(F.lit(1))).scalar()
 
 
-def fixture_stops(spark: SparkSession, sf_dir: str, places: tuple[int, int] | None = None) -> DataFrame:
-    lowest, _ = places or _places(spark, sf_dir)
-    hub = table(spark, sf_dir, "part").where(F.col("p_partkey") < lowest + 100)
-    return hub.withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+def fixture_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    return parts.withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
         "p_partkey*2 + pf AS stop_id",
         "concat('S', p_partkey, if(pf = 0, 'a', 'b')) AS IFOPT",
         "p_name AS name",
-        "(101900 + p_partkey div 40 + 0.5625D) * (180D/131072D) - 90D AS latitude",
-        "(137700 + p_partkey % 40 + 0.3125D + 0.5D*pf) * (360D/262144D) - 180D AS longitude",
+        "(90000 + (p_partkey div 1000) % 40000 + 0.5625D) * (180D/131072D) - 90D AS latitude",
+        "(137700 + p_partkey % 1000 + 0.3125D + 0.5D*pf) * (360D/262144D) - 180D AS longitude",
         "if(pf = 0, 'a', 'b') AS direction",
         "CAST(NULL AS STRING) AS ref_name",
         "p_partkey*2 + pf AS pos",
@@ -41,52 +39,54 @@ def fixture_stops(spark: SparkSession, sf_dir: str, places: tuple[int, int] | No
 
 
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
-    return nation.selectExpr(
-        "CAST(n_nationkey + k*100 AS BIGINT) AS line_id",
-        "concat(if(k = 0, 'L', 'X'), n_nationkey) AS lineLabel",
-        "n_name AS `to`",
+    suppliers = table(spark, sf_dir, "supplier").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
+    return suppliers.selectExpr(
+        "CAST(s_suppkey*2 + k AS BIGINT) AS line_id",
+        "concat(if(k = 0, 'L', 'X'), s_suppkey) AS lineLabel",
+        "s_name AS `to`",
         "k",
     )
 
 
-def fixture_departures(spark: SparkSession, sf_dir: str, places: tuple[int, int] | None = None) -> DataFrame:
-    lowest, count = places = places or _places(spark, sf_dir)
+def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowest, count = _bounds(spark, sf_dir, "part", "p_partkey")
     calls = (
         fixture_lines(spark, sf_dir)
+        .withColumns({"base": F.expr("line_id div 2"), "lowest": lowest, "count": count})
         .withColumn("seq", F.explode(F.sequence(F.lit(0), F.lit(9))))
         .withColumn("cyc", F.explode(F.sequence(F.lit(0), F.lit(27))))
-        .where("k = 0 OR seq < 3 OR (seq > 7 AND line_id % 2 = 0)")
+        .where("k = 0 OR seq < 3 OR (seq > 7 AND base % 2 = 0)")
         .where("NOT (cyc = 9 AND line_id % 3 = 0)")
         .selectExpr(
             "line_id", "CAST(seq AS BIGINT) AS seq",
-            f"({lowest} + ((line_id % 100)*3 + seq) % {count})*2 + line_id % 2 AS stop_id",
-            "CAST((((line_id % 100) % 4)*5 + seq*5 + cyc*50)*60 AS BIGINT) AS dep_sec",
+            "(lowest + (base*3 + seq) % count)*2 + base % 2 AS stop_id",
+            "CAST(((base % 4)*5 + seq*5 + cyc*50)*60 AS BIGINT) AS dep_sec",
         )
     )
-    ids = fixture_stops(spark, sf_dir, places).select("stop_id", "IFOPT")
+    ids = fixture_stops(spark, sf_dir).select("stop_id", "IFOPT")
     return calls.join(ids, "stop_id").select("line_id", "seq", "stop_id", "IFOPT", "dep_sec")
 
 
 def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lowest, count = _places(spark, sf_dir)
+    lowest, count = _bounds(spark, sf_dir, "part", "p_partkey")
+    first_line, lines = _bounds(spark, sf_dir, "supplier", "s_suppkey")
     e = table(spark, sf_dir, "events").selectExpr(
-        "event_id", "user_id", "event_type",
-        "CAST(get_json_object(props, '$.k') AS INT) AS kk",
-        "1704085200000000 + (unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) div 256 AS t_us",
-    )
+        "event_id", "user_id", "event_type", "ts", "CAST(get_json_object(props, '$.k') AS INT) AS kk",
+    ).withColumns({"lowest": lowest, "count": count, "first_line": first_line, "lines": lines})
+    e = e.selectExpr(
+        "*", "1704085200000000 + (unix_micros(CAST(ts AS TIMESTAMP)) - 1704067200000000) div 256 AS t_us")
     e = e.selectExpr("*", "((t_us div 1000000 + 3600) % 86400) div 60 AS lmin")
-    e = e.selectExpr("*", "(user_id + lmin div 38) % 25 AS ln")
+    e = e.selectExpr("*", "first_line + (user_id + lmin div 38) % lines AS ln")
     e = e.selectExpr("*", "((lmin - (ln % 4)*5) div 5) % 10 AS sq")
-    e = e.selectExpr("*", f"{lowest} + (ln*3 + sq) % {count} AS place", "(kk % 7 = 0) AS off")
+    e = e.selectExpr("*", "lowest + (ln*3 + sq) % count AS place", "(kk % 7 = 0) AS off")
     return e.selectExpr(
         "event_id AS seq_no",
         "user_id AS vehicle_id",
         "timestamp_micros(t_us) AS time",
         "CAST(NULL AS TIMESTAMP) AS time_end",
-        "if(kk % 19 = 0, NULL, (101900 + place div 40 + if(off, 500, 0) + 0.5D + (kk % 4)/64D)"
+        "if(kk % 19 = 0, NULL, (90000 + (place div 1000) % 40000 + 0.5D + (kk % 4)/64D)"
         " * (180D/131072D) - 90D) AS geo_latitude",
-        "(137700 + place % 40 + 0.375D + (kk % 3)/64D + if(kk % 11 = 0, 0.5D, 0D))"
+        "(137700 + place % 1000 + if(off, 20000, 0) + 0.375D + (kk % 3)/64D + if(kk % 11 = 0, 0.5D, 0D))"
         " * (360D/262144D) - 180D AS geo_longitude",
         "CAST(NULL AS STRING) AS geo_Hash",
         "if(event_type IN ('purchase', 'signup'), 'PLANNEDSTOP', 'LOCATION') AS event_Type",
@@ -99,11 +99,8 @@ def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_master(spark: SparkSession, sf_dir: str, params: MatchParams) -> MasterData:
-    places = _places(spark, sf_dir)
     return MasterData.from_timetable(
-        fixture_stops(spark, sf_dir, places), fixture_lines(spark, sf_dir),
-        fixture_departures(spark, sf_dir, places), params,
-    )
+        fixture_stops(spark, sf_dir), fixture_lines(spark, sf_dir), fixture_departures(spark, sf_dir), params)
 
 
 def fixture_osm_elements(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,8 +70,12 @@ class MasterData:
     @classmethod
     def from_index(cls, stops: DataFrame, lines: DataFrame, index: DataFrame,
                    params: MatchParams) -> "MasterData":
-        """Use a ready-made index; stops carry their ``plannedDepartures``."""
+        """Use a ready-made index; stops carry their ``plannedDepartures``.
+
+        Entries for tiles without any stop are left out: nothing may match there.
+        """
         service = service_table(nested_departures(stops))
+        index = index.join(stop_tiles(stops, params).select("tile7").distinct(), "tile7", "left_semi")
         small = within(params.broadcast_rows, stops, lines, index, service)
         return cls._build(stops, lines, index, service, small, params)
 
