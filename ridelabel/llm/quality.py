@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, stored
+from ridelabel.llm.common import python_columns, semi, stored
 
 ORDER = 4
 BEGIN = 2
@@ -312,8 +312,8 @@ def quality(
     """
     trusted = stored(trusted_ids(labels))
     apart = F.crc32(F.col("doc_id").cast("string").cast("binary")) % params.held_out == 0
-    model = language_model(docs.join(trusted.where(~apart), "doc_id", "left_semi").select(F.col("text").cast("binary")))
-    unseen = docs.join(trusted.where(apart), "doc_id", "left_semi")
+    model = language_model(semi(docs, trusted.where(~apart), "doc_id").select(F.col("text").cast("binary")))
+    unseen = semi(docs, trusted.where(apart), "doc_id")
     good = stored(perplexities(unseen, model, ["lang"], round_rows=round_rows).where("n > 0"))
     usual = _by_language(good, params, (-F.sum("log_sum") / F.sum("n")).alias("usual"))
 
