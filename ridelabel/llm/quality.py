@@ -156,9 +156,12 @@ def language_model(texts: DataFrame) -> DataFrame:
 
 
 class Scorer:
-    """Log probabilities of the characters whose context ends in one of some parts of the model."""
+    """Log probabilities of the characters whose context ends in one of some parts of the model.
 
-    def __init__(self, orders: np.ndarray, grams: np.ndarray, values: np.ndarray, parts: np.ndarray | None):
+    `skipped` are the parts that other rounds score; characters of no part are scored by the last.
+    """
+
+    def __init__(self, orders: np.ndarray, grams: np.ndarray, values: np.ndarray, skipped: np.ndarray):
         self.tables = {}
         for order in (*range(1, ORDER + 1), *range(11, ORDER + 11)):
             at = np.flatnonzero(orders == order)
@@ -166,9 +169,9 @@ class Scorer:
             sort = np.argsort(keys)
             self.tables[order] = keys[sort], values[at][sort]
         self.parts = None
-        if parts is not None:
-            self.parts = np.zeros(65536, bool)
-            self.parts[parts] = True
+        if len(skipped):
+            self.parts = np.ones(65536, bool)
+            self.parts[skipped] = False
 
     def _find(self, order: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known, values = self.tables[order]
@@ -227,10 +230,11 @@ def perplexities(
         one = len(rounds) == 1
         table = model if one else model.where(F.col("part").isin([-1, *parts]))
         table = table.select("order", "gram", "value").toArrow()
-        held = spark.sparkContext.broadcast((
-            table.column("order").to_numpy(), table.column("gram").to_numpy(), table.column("value").to_numpy(),
-            None if one else np.array(parts, np.int64)))
         final = i == len(rounds) - 1
+        others = np.array([p for own in rounds if own is not parts for p in own], np.int64)
+        skipped = others if final else np.setdiff1d(np.arange(65536), parts)
+        held = spark.sparkContext.broadcast((
+            table.column("order").to_numpy(), table.column("gram").to_numpy(), table.column("value").to_numpy(), skipped))
         rows = python_columns(
             rows, _scored(held, final), "n long, log_sum double" if final else "_text binary, _sum double",
             {"text": F.col("_text"), "sum": F.col("_sum")}, keep)
