@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import drop_white, semi, stored
+from ridelabel.llm.common import drop_white, semi, small_enough, stored
 
 
 def content_hash(text: Column) -> Column:
@@ -39,14 +39,14 @@ def exact_dedup(
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id"))
     groups = keys.groupBy("h").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
 
-    repeated = stored(groups.where("group_size > 1").select("h"))
-    members = semi(rows, repeated, "h")
+    repeated = stored(groups.where("group_size > 1"))
+    members = semi(rows, repeated.select("h"), "h")
     mixed = stored(
         members.groupBy("h").agg(F.min("norm").alias("least"), F.max("norm").alias("most"))
         .where("least != most").select("h"))
     if not mixed.isEmpty():
         return _split_by_text(rows, mixed, best)
-    return _result(keys.join(groups, "h"))
+    return _result(keys, repeated, ["h"])
 
 
 def _split_by_text(rows: DataFrame, mixed: DataFrame, best: Column) -> DataFrame:
@@ -58,11 +58,15 @@ def _split_by_text(rows: DataFrame, mixed: DataFrame, best: Column) -> DataFrame
         F.unhex(F.sha2(F.col("norm"), 256)).alias("sha")))
     keys = keys.withColumn("exact", F.coalesce("exact", F.lit("")))
     groups = keys.groupBy("h", "exact").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    return _result(keys.join(groups, ["h", "exact"]))
+    return _result(keys, stored(groups.where("group_size > 1")), ["h", "exact"])
 
 
-def _result(joined: DataFrame) -> DataFrame:
+def _result(keys: DataFrame, repeated: DataFrame, on: list[str]) -> DataFrame:
+    """Rows without a group of two or more stay by themselves."""
+    joined = keys.join(F.broadcast(repeated) if small_enough(repeated) else repeated, on, "left")
     same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_chars") == -F.col("best.n"))
+    alone = F.col("group_size").isNull()
     return joined.select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", same.alias("kept"),
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | same).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
