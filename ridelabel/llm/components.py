@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import stored
+from ridelabel.llm.common import small_enough, stored
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -14,7 +14,10 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     if large:
         pairs = pairs.unionAll(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = pairs.join(least, "u")
+    if large:
+        # A node may have very many neighbours: with shuffles of its own the join can split them.
+        least = stored(least)
+    joined = pairs.join(F.broadcast(least) if large and small_enough(least) else least, "u")
     if large:
         moved = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
