@@ -18,6 +18,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Bytes of Arrow data that Python code handles at a time.
+SLICE_BYTES = 4 << 20
+
 #: Rows of narrow keys (under 64 bytes each) that may be broadcast. More are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -73,7 +76,8 @@ def python_columns(
 ) -> DataFrame:
     """`keep` columns of the frame and columns computed batch by batch in Python.
 
-    `make` is called once per task; what it returns maps a batch's `inputs` to `fields`.
+    `make` is called once per task; what it returns maps some rows' `inputs` to `fields`. It gets
+    about SLICE_BYTES at a time, so that what it makes of them stays small.
     """
     added = T.StructType.fromDDL(fields)
     names = {name: f"_in{i}" for i, name in enumerate(inputs)}
@@ -83,9 +87,11 @@ def python_columns(
     def batches(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for part in parts:
-            if part.num_rows:
-                out = compute({n: part.column(part.schema.get_field_index(a)) for n, a in names.items()})
-                kept = [part.column(i) for i in range(len(keep))]
+            step = max(1, SLICE_BYTES * part.num_rows // max(part.nbytes, 1))
+            for begin in range(0, part.num_rows, step):
+                piece = part.slice(begin, step)
+                out = compute({n: piece.column(piece.schema.get_field_index(a)) for n, a in names.items()})
+                kept = [piece.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, *(out[f.name] for f in added)], names=[f.name for f in schema])
 

@@ -16,8 +16,8 @@ WINDOW = 13
 SHINGLE = 5
 #: Bytes of benchmark text whose windows are broadcast at a time. More text takes more rounds.
 BLOCK_BYTES = 4 << 20
-#: Document words that are looked up at a time.
-CHUNK_WORDS = 400_000
+#: Bytes of text whose words are looked up at a time.
+CHUNK_BYTES = 1 << 20
 
 # A word is a run of ASCII digits and letters and of everything beyond ASCII; A-Z are lower-cased.
 _FOLD = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
@@ -118,11 +118,11 @@ class Windows:
                 yield n, s[real], w[real]
 
 
-def _chunks(texts: list[list[bytes]]) -> Iterator[slice]:
+def _chunks(texts: list[bytes | None]) -> Iterator[slice]:
     begin = size = 0
-    for i, words in enumerate(texts):
-        size += len(words) + 1
-        if size >= CHUNK_WORDS:
+    for i, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= CHUNK_BYTES:
             yield slice(begin, i + 1)
             begin, size = i + 1, 0
     if begin < len(texts):
@@ -135,9 +135,9 @@ def _frequencies(docs: DataFrame, held, text_col: str) -> DataFrame:
         block = held.value
         totals = {k: np.zeros(len(keys), np.int64) for k, keys in block.tokens.items()}
         for part in parts:
-            texts = [words_of(t) for t in part.column(0).to_pylist()]
-            for piece in _chunks(texts):
-                ids, _ = block.ids_of(texts[piece])
+            bodies = part.column(0).to_pylist()
+            for piece in _chunks(bodies):
+                ids, _ = block.ids_of([words_of(t) for t in bodies[piece]])
                 for k, keys in block.tokens.items():
                     grams = _shingles(ids, block.places(ids, k), k)
                     at = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
@@ -203,12 +203,13 @@ def _searcher(held, final: bool) -> Callable:
 
         def search(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
             bodies = batch["text"].to_pylist()
-            texts = [words_of(t) for t in bodies]
             spans = [np.frombuffer(s or b"", "<i4").reshape(-1, 2) for s in batch["spans"].to_pylist()]
             names = [set(n or ()) for n in batch["items"].to_pylist()]
-            hits = np.zeros(len(texts), np.int64)
-            for piece in _chunks(texts):
-                ids, begins = block.ids_of(texts[piece])
+            hits, sizes = np.zeros(len(bodies), np.int64), np.zeros(len(bodies), np.int64)
+            for piece in _chunks(bodies):
+                texts = [words_of(t) for t in bodies[piece]]
+                sizes[piece] = [len(t) for t in texts]
+                ids, begins = block.ids_of(texts)
                 edge = np.zeros(len(ids) + 1, np.int64)
                 for d in range(piece.start, piece.stop):
                     old = spans[d] + begins[d - piece.start]
@@ -235,7 +236,6 @@ def _searcher(held, final: bool) -> Callable:
                     "_text": pa.array(bodies, pa.binary()),
                     "_spans": pa.array([s.astype("<i4").tobytes() for s in spans], pa.binary()),
                     "_items": pa.array([sorted(n) for n in names], pa.list_(pa.string()))}
-            sizes = np.array([len(t) for t in texts], np.int64)
             return {
                 "n_words": pa.array(sizes), "n_hit": pa.array(hits),
                 "n_items": pa.array([len(n) for n in names], pa.int64()),

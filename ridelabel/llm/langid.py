@@ -18,7 +18,7 @@ UNKNOWN = "und"
 #: Languages in one word of a filter row.
 WORD = 63
 #: Characters that are looked at together.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 
 
 @dataclass(frozen=True)

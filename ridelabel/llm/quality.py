@@ -17,7 +17,7 @@ BEGIN = 2
 #: Rows of the probability table that are broadcast at a time (about 24 bytes each).
 ROUND_ROWS = 3_000_000
 #: Characters that are counted or scored at a time.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 #: Perplexities are compared in steps of this size, so that quantiles need one row per step.
 STEP = 0.001
 
