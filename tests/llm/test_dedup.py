@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ridelabel.llm.components import components
 from ridelabel.llm.exact_dedup import exact_dedup
 from ridelabel.llm.line_dedup import PerfectHash, line_dedup
-from ridelabel.llm import minhash
+from ridelabel.llm import common, minhash
+from ridelabel.llm import components as components_module
+from ridelabel.llm import exact_dedup as exact_module
 from ridelabel.llm.minhash import MinHashParams, near_duplicates
 from tests.llm.plain import near
 
@@ -121,3 +123,13 @@ def test_near_duplicates_nulls_repeats_and_empty_table(frame):
     got = sorted(map(tuple, near_duplicates(frame(rows)).collect()), key=repr)
     assert got == sorted([(5, 5, 3, False), (5, 5, 3, False), (3, 5, 3, True), (None, 5, None, True), (7, 5, 3, False)], key=repr)
     assert near_duplicates(frame([])).count() == 0
+
+
+def test_shuffled_joins_give_the_same_result_as_broadcasts(frame, monkeypatch):
+    rows = _families(7)
+    near_want = near(rows)
+    exact_want = sorted(map(tuple, exact_dedup(frame(rows)).collect()), key=repr)
+    for module in (common, components_module, exact_module, minhash):
+        monkeypatch.setattr(module, "small_enough", lambda *_: False)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(frame(rows)).collect()} == near_want
+    assert sorted(map(tuple, exact_dedup(frame(rows)).collect()), key=repr) == exact_want
