@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ridelabel.functions import tiles
 from ridelabel.functions.timekeys import bucket, local_second_of_day
-from ridelabel.operators import index, match, osm, vote
+from ridelabel.operators import index, match, osm
 from ridelabel.operators.collapse import DOORS
-from ridelabel.operators.sessions import valid_positions, with_cell, with_runs
+from ridelabel.operators.sessions import valid_positions, with_cell
 from ridelabel.params import MatchParams
 from ridelabel.plans import enrich as plans
 from ridelabel.sources import fixtures as fx
@@ -28,7 +28,7 @@ def _us(column: str):
 
 
 def _runs(spark, sf):
-    return with_runs(with_cell(valid_positions(fx.fixture_waypoints(spark, sf))), P)
+    return plans.number_runs(fx.fixture_waypoints(spark, sf), P)
 
 
 def _keypoints(spark, sf):
@@ -44,7 +44,7 @@ def _master(spark, sf):
 
 
 def _labelled(spark, sf, master):
-    return plans.label_lines(_keypoints(spark, sf), master, P)
+    return plans.label_lines(fx.fixture_waypoints(spark, sf), master, P)
 
 
 def valid_positions_q(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +172,7 @@ def candidate_gate(spark, sf):
 
 
 def near_stops_join(spark, sf):
-    return match.near_stops(_keyed(spark, sf), _master(spark, sf)).select(
+    return match.near_stops(_keyed(spark, sf), _master(spark, sf), P).select(
         *RUN, F.col("stop.IFOPT").alias("ifopt"), F.round("dist", 12).alias("dist")
     )
 
@@ -188,13 +188,13 @@ def vote_increments(spark, sf):
 
 
 def vote_fold(spark, sf):
-    folded = plans.fold_lines(_keypoints(spark, sf), _master(spark, sf), P)
+    folded = plans.fold_lines(fx.fixture_waypoints(spark, sf), _master(spark, sf), P)
     return folded.select(*RUN, F.col("det").alias("decided_line"))
 
 
 def vote_fold_by_vehicle(spark, sf):
     params = P.with_(scope="vehicle")
-    folded = plans.fold_lines(_keypoints(spark, sf), _master(spark, sf), params)
+    folded = plans.fold_lines(fx.fixture_waypoints(spark, sf), _master(spark, sf), params)
     return folded.select(*RUN, F.col("det").alias("decided_line"))
 
 

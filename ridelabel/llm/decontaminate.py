@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, stored
+from ridelabel.llm.common import python_columns, releasing, stored
 
 WINDOW = 13
 SHINGLE = 5
@@ -148,7 +148,7 @@ def _frequencies(docs: DataFrame, held, text_col: str) -> DataFrame:
                 [pa.array(np.full(len(at), k, np.int64)), pa.array(block.tokens[k][at].view(np.int64)), pa.array(n[at])],
                 names=["k", "token", "n"])
 
-    counted = docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "k long, token long, n long")
+    counted = docs.select(F.col(text_col).cast("binary")).mapInArrow(releasing(count), "k long, token long, n long")
     return counted.groupBy("k", "token").agg(F.sum("n").alias("n"))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns
+from ridelabel.llm.common import python_columns, releasing
 
 # Kinds of elements, and words in class or id names of what is not the article.
 BLOCKS = set(
@@ -185,7 +185,7 @@ def learned_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float
             [pa.array(names, pa.string()), pa.array([sums[n][0] for n in names], pa.int64()),
              pa.array([sums[n][1] for n in names], pa.int64())], names=["name", "outside", "inside"])
 
-    counted = pages.select(html_col).mapInArrow(count, "name string, outside long, inside long")
+    counted = pages.select(html_col).mapInArrow(releasing(count), "name string, outside long, inside long")
     rows = counted.groupBy("name").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside")).collect()
     return weights_from({r["name"]: (r["outside"], r["inside"]) for r in rows})
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, stored
+from ridelabel.llm.common import python_columns, releasing, stored
 
 UNKNOWN = "und"
 #: Languages in one word of a filter row.
@@ -100,7 +100,7 @@ def gram_counts(texts: DataFrame, languages: list[str]) -> DataFrame:
             [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), lang, np.int32)), pa.array(n)],
             names=["gram", "lang", "n"])
 
-    return texts.mapInArrow(count, "gram long, lang int, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(releasing(count), "gram long, lang int, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
 
 
 class Filters:
@@ -175,7 +175,7 @@ def fit(texts: DataFrame, params: LangIdParams = LangIdParams()) -> Filters:
                     [pa.array(_slots(keys, probe, slots)), pa.array((lang // WORD).astype(np.int32)), pa.array(bit)],
                     names=["slot", "word", "bits"])
 
-    placed = member.mapInArrow(place, "slot long, word int, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
+    placed = member.mapInArrow(releasing(place), "slot long, word int, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
     table = placed.toArrow()
     rows = np.zeros((slots, width), np.int64)
     rows[table.column("slot").to_numpy(), table.column("word").to_numpy()] = table.column("bits").to_numpy()

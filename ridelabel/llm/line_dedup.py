@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, stored
+from ridelabel.llm.common import python_columns, releasing, stored
 
 #: Line hashes in one shard of the index, about; a shard is built in one task.
 SHARD_KEYS = 200_000
@@ -121,7 +121,7 @@ def line_counts(docs: DataFrame, text_col: str, min_chars: int) -> DataFrame:
             [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(list(seen.values()), pa.int64())],
             names=["low", "high", "n"])
 
-    counted = docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "low long, high long, n long")
+    counted = docs.select(F.col(text_col).cast("binary")).mapInArrow(releasing(count), "low long, high long, n long")
     return counted.groupBy("low", "high").agg(F.sum("n").alias("n"))
 
 
@@ -151,7 +151,7 @@ def build_index(counts: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
 
     dealt = counts.select(F.pmod("high", F.lit(shards)).alias("shard"), "low", "high", "n") \
         .repartition(shards, "shard")
-    return dealt.mapInArrow(build, "shard long, size long, body binary")
+    return dealt.mapInArrow(releasing(build), "shard long, size long, body binary")
 
 
 def _rounds(index: DataFrame, most: int) -> list[list[int]]:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import semi, small_enough, stored
+from ridelabel.llm.common import releasing, semi, small_enough, stored
 from ridelabel.llm.components import components
 
 #: Members of a bucket that are compared in one task; larger buckets are cut into pairs of parts.
@@ -185,7 +185,7 @@ def grouped(frame: DataFrame, keys: list[str], work: Callable[[], Callable[[pa.T
                 held.append(part.slice(begin, end - begin))
         yield from flush()
 
-    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(releasing(run), schema)
 
 
 def features(docs: DataFrame, params: MinHashParams, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,7 +211,7 @@ def features(docs: DataFrame, params: MinHashParams, id_col: str = "doc_id", tex
                 names=["doc_id", "n_shingles", "set_hash", "sketch", "bands"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return source.mapInArrow(compute, "doc_id long, n_shingles long, set_hash binary, sketch binary, bands array<long>")
+    return source.mapInArrow(releasing(compute), "doc_id long, n_shingles long, set_hash binary, sketch binary, bands array<long>")
 
 
 def _bucket_members(unique: DataFrame, params: MinHashParams) -> DataFrame:

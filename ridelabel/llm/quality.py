@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, semi, stored
+from ridelabel.llm.common import python_columns, releasing, semi, stored
 
 ORDER = 4
 BEGIN = 2
@@ -92,7 +92,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     def packed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["gram", "n"])
 
-    return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(releasing(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _low(gram: Column, order: int) -> Column:

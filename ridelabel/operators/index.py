@@ -38,7 +38,12 @@ def nested_departures(stops: DataFrame) -> DataFrame:
     return stops.select("IFOPT", F.explode("plannedDepartures").alias("_d")).select("IFOPT", "_d.*")
 
 
-def _due_buckets(departures: DataFrame, stops: DataFrame, params: MatchParams) -> DataFrame:
+#: With several bucket sizes at once, minutes times this is added to a bucket's number.
+SIZE_STEP = 10_000
+
+
+def _due_buckets(departures: DataFrame, stops: DataFrame, params: MatchParams,
+                 sizes: list[int] | None = None) -> DataFrame:
     """Departures with their stop's tile and the buckets a waypoint may match in.
 
     A vehicle is on time or late, never early: the departure's own bucket and the
@@ -46,16 +51,22 @@ def _due_buckets(departures: DataFrame, stops: DataFrame, params: MatchParams) -
     """
     tile = tiles.tile_id(F.col("latitude"), F.col("longitude"), params.stop_tile_chars)
     placed = first_by_ifopt(stops).select("IFOPT", tile.alias("tile7"))
-    own = second_bucket(F.col("dep_sec"), params.bucket_minutes)
-    per_day = F.lit(params.buckets_per_day)
-    return departures.join(placed, "IFOPT").withColumn(
-        "bucket", F.explode(F.array(F.pmod(own, per_day), F.pmod(own + 1, per_day)))
+    sized = departures.withColumn("_size", F.explode(F.array(*map(F.lit, sizes or [params.bucket_minutes]))))
+    own = second_bucket(F.col("dep_sec"), F.col("_size"))
+    per_day = (F.lit(24 * 60) / F.col("_size")).cast("int")
+    mark = F.col("_size") * SIZE_STEP if sizes else F.lit(0)
+    return sized.join(placed, "IFOPT").withColumn(
+        "bucket", F.explode(F.array(mark + F.pmod(own, per_day), mark + F.pmod(own + 1, per_day)))
     )
 
 
-def line_index(departures: DataFrame, stops: DataFrame, params: MatchParams) -> DataFrame:
-    """(tile, bucket) to the lines due there and the stop's index within the line."""
-    return _due_buckets(departures, stops, params).select(
+def line_index(departures: DataFrame, stops: DataFrame, params: MatchParams,
+               sizes: list[int] | None = None) -> DataFrame:
+    """(tile, bucket) to the lines due there and the stop's index within the line.
+
+    ``sizes`` gives the index for several bucket sizes, told apart by SIZE_STEP.
+    """
+    return _due_buckets(departures, stops, params, sizes).select(
         "tile7", "bucket", "line_id", F.col("seq").cast("int").alias("seq")
     ).distinct()
 

@@ -22,16 +22,16 @@ def place_time_keys(keypoints: DataFrame, params: MatchParams) -> DataFrame:
     })
 
 
-def _find(keyed: DataFrame, table: DataFrame, keys: list[str], master: MasterData,
+def _find(keyed: DataFrame, name: str, table: DataFrame, keys: list[str], master: MasterData,
           params: MatchParams) -> DataFrame:
     spread = [F.col("vehicle_id"), F.col("run_id")]
-    return lookup(keyed, table, keys, master.small, params.join_salts, spread)
+    return lookup(keyed, table, keys, name in master.small, params.join_salts, spread)
 
 
-def near_stops(keyed: DataFrame, master: MasterData) -> DataFrame:
+def near_stops(keyed: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     """Every keypoint with each stop of its tile (1:n; no stop gives one null row)."""
     placed = master.placed.select("tile7", F.struct(*STOP_FIELDS).alias("stop"))
-    joined = keyed.join(F.broadcast(placed) if master.small else placed, "tile7", "left")
+    joined = _find(keyed, "placed", placed, ["tile7"], master, params)
     return joined.withColumn("dist", stop_distance(F.col("stop")))
 
 
@@ -42,7 +42,7 @@ def stop_distance(stop: Column) -> Column:
 def with_near_flag(keyed: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     """Add ``near``: whether the keypoint's tile has any stop."""
     occupied = master.occupied.withColumn("_near", F.lit(True))
-    found = _find(keyed, occupied, ["tile7"], master, params)
+    found = _find(keyed, "occupied", occupied, ["tile7"], master, params)
     return found.withColumn("near", F.coalesce("_near", F.lit(False))).drop("_near")
 
 
@@ -51,7 +51,7 @@ def with_candidates(keyed: DataFrame, master: MasterData, params: MatchParams) -
 
     A line carries ``has_zero`` when the keypoint may be its first stop.
     """
-    found = _find(keyed, master.due, ["tile7", "bucket"], master, params)
+    found = _find(keyed, "due", master.due, ["tile7", "bucket"], master, params)
     none = F.array().cast(master.due.schema["cands"].dataType)
     return found.withColumn("cands", F.coalesce("cands", none))
 
@@ -62,8 +62,24 @@ def line_votes(has_zero: Column, params: MatchParams) -> Column:
 
 
 def with_line_details(labelled: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
-    """Add ``routeName`` and ``routeDetails`` of ``line_id``; an unknown line gets nulls."""
-    return _find(labelled.drop("routeName", "routeDetails"), master.details, ["line_id"], master, params)
+    """Add ``routeName`` and ``routeDetails`` of ``line_id``; an unknown line gets nulls.
+
+    Rows without a line keep what they came with.
+    """
+    rest = _put_aside(labelled, "routeName", "routeDetails")
+    return _put_back(_find(rest, "details", master.details, ["line_id"], master, params))
+
+
+def _put_aside(rows: DataFrame, *names: str) -> DataFrame:
+    """Columns that a lookup is about to write, out of its way."""
+    return rows.withColumnsRenamed({n: f"_own_{n}" for n in names})
+
+
+def _put_back(rows: DataFrame) -> DataFrame:
+    own = {c.removeprefix("_own_"): c for c in rows.columns if c.startswith("_own_")}
+    return rows.withColumns({
+        n: F.when(F.col("line_id").isNull(), F.col(c)).otherwise(F.col(n)) for n, c in own.items()
+    }).drop(*own.values()) if own else rows
 
 
 def with_nearest_serving_stop(labelled: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
@@ -71,15 +87,15 @@ def with_nearest_serving_stop(labelled: DataFrame, master: MasterData, params: M
 
     The stops of a (tile, line) come as one array, so the minimum is taken inside
     the row: no row is multiplied and nothing is grouped again. Equal distances
-    are decided by IFOPT.
+    are decided by IFOPT. Rows without a line keep the stop they came with.
     """
-    rest = labelled.drop("stop_scheduleStop")
-    found = _find(rest, master.serving, ["tile7", "line_id"], master, params)
+    rest = _put_aside(labelled, "stop_scheduleStop")
+    found = _find(rest, "serving", master.serving, ["tile7", "line_id"], master, params)
     ranked = F.transform(
         "serving",
         lambda s: F.struct(stop_distance(s).alias("dist"), s["IFOPT"].alias("id"), s.alias("stop")),
     )
-    return (
+    return _put_back(
         found.withColumn("_best", F.array_min(ranked))
         .withColumns({"stop_scheduleStop": F.col("_best.stop"), "stop_dist": F.col("_best.dist")})
         .drop("serving", "_best")

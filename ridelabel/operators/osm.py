@@ -32,26 +32,31 @@ def transport_product(route: Column) -> Column:
     return F.when(name.isin(PRODUCTS), name)
 
 
-def _latest(elements: DataFrame, kind: str, value: Column) -> DataFrame:
-    """``id`` and value of the elements of one type; the last of equal ids counts."""
+def _latest(elements: DataFrame, kind: str, value: Column, wanted: DataFrame) -> DataFrame:
+    """``ref`` and value of the wanted elements of one type; the last of equal ids counts.
+
+    Others are left out before anything is aggregated. Both steps use the same placement.
+    """
+    rows = elements.where(F.col("type") == kind).select(F.col("id").alias("ref"), *_ELEMENT, value.alias("_v"))
     return (
-        elements.where(F.col("type") == kind)
-        .groupBy(F.col("id").alias("ref"))
-        .agg(F.max_by(value, F.struct(*_ELEMENT)).alias("value"))
+        rows.join(wanted.select("ref").distinct(), "ref", "left_semi")
+        .groupBy("ref")
+        .agg(F.max_by("_v", F.struct(*_ELEMENT)).alias("value"))
         .where(F.col("value").isNotNull())
     )
 
 
-def node_points(elements: DataFrame) -> DataFrame:
+def node_points(elements: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Points of the wanted nodes (``ref``)."""
     at = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), point(F.col("lon"), F.col("lat")))
-    return _latest(elements, "node", at)
+    return _latest(elements, "node", at, wanted)
 
 
 def way_lines(elements: DataFrame, wanted: DataFrame) -> DataFrame:
     """Polyline of each wanted way (``ref``); missing nodes and single points drop out."""
-    ways = _latest(elements, "way", F.col("nodes")).join(wanted.select("ref").distinct(), "ref", "left_semi")
+    ways = _latest(elements, "way", F.col("nodes"), wanted)
     steps = ways.select(F.col("ref").alias("way"), F.posexplode("value").alias("at", "ref"))
-    placed = steps.join(node_points(elements), "ref")
+    placed = steps.join(node_points(elements, steps), "ref")
     lines = placed.groupBy(F.col("way").alias("ref")).agg(_in_order(F.struct("at", "value")).alias("value"))
     return lines.where(F.size("value") > 1)
 
@@ -99,7 +104,7 @@ def osm_routes(elements: DataFrame) -> DataFrame:
     members = route_members(relations)
     of_nodes = members.where(F.col("kind").isin("stopNodes", "platformsNodes"))
     of_ways = members.where(F.col("kind").isin("platformWays", "route"))
-    points = of_nodes.join(node_points(elements), "ref")
+    points = of_nodes.join(node_points(elements, of_nodes), "ref")
     lines = of_ways.join(way_lines(elements, of_ways), "ref")
     placed = points.select(*_ELEMENT, "kind", F.struct("at", "value").alias("p")).unionByName(
         lines.select(*_ELEMENT, "kind", F.struct("at", "value").alias("l")), allowMissingColumns=True
@@ -175,9 +180,12 @@ def osm_select(elements: DataFrame, selections: Iterable[Selection], bbox: BBox
     chosen = elements.where(F.coalesce(anyone, F.lit(False)))
     if bbox is not None:
         inside = elements.where((F.col("type") == "node") & bbox.condition()).select(F.col("id").alias("ref"))
-        way_hits = _referring(elements.where("type = 'way'"), F.col("nodes"), inside)
         relations = chosen.where("type = 'relation'")
         members = relations.select("id", F.explode("members").alias("m")).select("id", "m.type", "m.ref")
+        # Only chosen ways and ways of chosen relations matter.
+        of_relations = members.where("type = 'way'").select(F.col("ref").alias("id"))
+        asked = chosen.where("type = 'way'").select("id").unionByName(of_relations).distinct()
+        way_hits = _referring(elements.where("type = 'way'").join(asked, "id", "left_semi"), F.col("nodes"), inside)
         by_node = members.where("type = 'node'").join(inside, "ref", "left_semi")
         by_way = members.where("type = 'way'").join(
             way_hits.withColumnRenamed("id", "ref"), "ref", "left_semi"

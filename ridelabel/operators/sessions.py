@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelabel.functions import tiles
+from ridelabel.operators.skew import CHUNK
 from ridelabel.params import MatchParams
 
 
@@ -18,21 +19,16 @@ def with_cell(waypoints: DataFrame) -> DataFrame:
     return waypoints.withColumn("cell", tiles.cell(F.col("geo_latitude"), F.col("geo_longitude")))
 
 
-def chunk_of(time: str, params: MatchParams):
-    """Number of the time chunk. Rows without time come first in every order; so does their chunk."""
-    chunk = F.floor(F.unix_micros(time) / F.lit(params.chunk_seconds * 1_000_000))
-    return F.coalesce(chunk, F.lit(-(1 << 60)))
-
-
-def with_runs(waypoints: DataFrame, params: MatchParams, chunked: bool = False) -> DataFrame:
+def with_runs(waypoints: DataFrame, params: MatchParams) -> DataFrame:
     """Add ``session_id`` and ``run_id``, both counted from 1 per vehicle.
 
     A session ends with a gap longer than the limit; a run ends with its session
-    or when the coarse tile differs from the previous waypoint's. ``chunked`` is
-    the way for vehicles too large for one task.
+    or when the coarse tile differs from the previous waypoint's. Vehicles too
+    large for one task come with their rows' chunks, which are dropped here.
     """
     rows = waypoints.withColumn("_tile", tiles.cell_tile(F.col("cell"), params.run_tile_chars))
-    return (_runs_in_chunks if chunked else _runs_per_vehicle)(rows, params).drop("_tile")
+    number = _runs_in_chunks if CHUNK in waypoints.columns else _runs_per_vehicle
+    return number(rows, params).drop("_tile")
 
 
 def _flags(time, tile, prev_time, prev_tile, params: MatchParams):
@@ -60,7 +56,6 @@ def _runs_in_chunks(rows: DataFrame, params: MatchParams) -> DataFrame:
     summary with one row per chunk then says whether that first row opens a
     session or run, and how many were opened before.
     """
-    rows = rows.withColumn("_chunk", chunk_of("time", params))
     order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     new_session, new_run = _flags(

@@ -3,38 +3,68 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Column that numbers a hot key's stretches of time; rows without it are cut nowhere.
+CHUNK = "_chunk"
+#: A hot key is cut into at most this many chunks.
+MOST_CHUNKS = 1000
 
-def split_hot(df: DataFrame, key: str, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
+
+def split_hot(df: DataFrame, key: str, time: str, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of keys with more than ``max_rows`` rows (or None).
 
     One narrow pass with map-side counts finds the hot keys. There are at most
-    ``rows / max_rows`` of them, which bounds the broadcast.
+    ``rows / max_rows`` of them, which bounds the broadcast. Hot rows are cut into
+    chunks (see ``with_chunks``).
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_hot"))
+    hot = cut_lineage(counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_hot")))
     if hot.isEmpty():
         return df, None
-    hot = F.broadcast(cut_lineage(hot))
     same = df[key].eqNullSafe(hot["_hot"])
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+    keys = F.broadcast(hot)
+    return df.join(keys, same, "left_anti"), with_chunks(df.join(keys, same, "left_semi"), key, time, max_rows)
+
+
+def with_chunks(df: DataFrame, key: str, time: str, max_rows: int) -> DataFrame:
+    """Add the chunk of each row: quantiles of the key's times, about ``max_rows`` rows apart.
+
+    Chunks are ordered like the times. Equal times share a chunk; rows without
+    time come first and share the lowest one. Meant for the rows of hot keys only:
+    the bounds are broadcast, and there is about one for every ``max_rows`` rows.
+    """
+    steps = [i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)]
+    at = F.unix_micros(time)
+    found = df.groupBy(F.col(key).alias("_key")).agg(
+        F.percentile_approx(at, steps, 10 * MOST_CHUNKS).alias("_q"), F.count(F.lit(1)).alias("_rows")
+    )
+    every = F.greatest(F.lit(1), F.floor(F.lit(MOST_CHUNKS * max(1, max_rows)) / F.col("_rows")))
+    bounds = cut_lineage(found.select(
+        "_key", F.array_distinct(F.filter("_q", lambda _, i: (i + 1) % every == 0)).alias("_bounds")
+    ))
+    joined = df.join(F.broadcast(bounds), df[key].eqNullSafe(bounds["_key"]))
+    chunk = F.size(F.filter("_bounds", lambda bound: bound < at))
+    return joined.withColumn(CHUNK, F.greatest(F.coalesce(chunk, F.lit(0)), F.lit(0))).drop("_key", "_bounds")
 
 
 def lookup(big: DataFrame, small: DataFrame, keys: list[str], broadcast: bool, salts: int,
            spread: list[Column]) -> DataFrame:
-    """Left join to a table with at most one row per key.
+    """Left join to a table with few rows per key.
 
     ``broadcast`` must come from a check of the table's size. Without it both
     sides are shuffled, every key spread over ``salts`` parts chosen by a hash of
-    ``spread``, so that neither a popular key nor the rows with a null key meet
-    in one task.
+    ``spread``, so that a popular key does not meet in one task. Rows with a null
+    key match nothing: their salts are all hashes there are.
     """
     if broadcast:
         return big.join(F.broadcast(small), keys, "left")
-    salted_big = big.withColumn("_salt", F.pmod(F.hash(*spread), F.lit(salts)))
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    salt = F.hash(*spread)
+    salted_big = big.withColumn("_salt", F.when(missing, salt).otherwise(F.pmod(salt, F.lit(salts))))
     salted_small = small.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
@@ -48,7 +78,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="ridelabel-checkpoint-")
         context.setCheckpointDir(folder)

@@ -9,76 +9,74 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelabel.operators.sessions import chunk_of
+from ridelabel.operators.skew import CHUNK
 from ridelabel.params import MatchParams
 
-
 #: The part of rows before any cut; below every chunk number.
-NO_PART = -(1 << 61)
+NO_PART = -1
+
+
+def _scope(params: MatchParams) -> list[str]:
+    return ["vehicle_id", "session_id"] if params.scope == "session" else ["vehicle_id"]
 
 
 def vote_group(params: MatchParams) -> list[str]:
     """Columns whose rows share one vote."""
-    group = ["vehicle_id", "part"]
-    return [*group, "session_id"] if params.scope == "session" else group
+    return [*_scope(params), "part"]
 
 
-def with_parts(steps: DataFrame, params: MatchParams, chunked: bool = False) -> DataFrame:
-    """Add ``part``, which cuts a vote group where cutting cannot change the result.
+def with_parts(steps: DataFrame, params: MatchParams) -> DataFrame:
+    """Add ``part``, which cuts a vote group where cutting cannot change the vote.
 
-    For ordinary vehicles there is one part. For hot ones a part starts at a time
-    chunk with a certain restart, seen from neighbouring keypoints alone:
-    the one before was decided whatever the votes were (its only candidate may
-    start there, or was the only candidate of the one before it, too), so nothing
-    is pending; and this one clears the votes (a line may start here, or the
-    decided line is not due).
+    For ordinary vehicles there is one part. For hot ones, whose rows carry their
+    chunk, a part starts at the first row of a chunk where the vote is certain to
+    start anew, seen from neighbouring keypoints alone. Either no line due here was
+    due at the last keypoint with any: no vote is carried over. Or the keypoint
+    before was decided whatever the votes were (its only candidate may start there,
+    or was the only candidate of the one before it, too) and this one clears the
+    votes (a line may start here, or the decided line is not due).
     """
-    certain = params.first_stop_votes >= params.single_min_votes <= 2 * params.other_stop_votes
-    if not chunked or not certain:
-        return steps.withColumn("part", F.lit(NO_PART).cast("bigint"))
-
-    rows = steps.withColumn("_chunk", chunk_of("time", params))
-    order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
+    if CHUNK not in steps.columns:
+        return steps.withColumn("part", F.lit(NO_PART))
+    order = Window.partitionBy("vehicle_id", CHUNK).orderBy("time", "seq_no")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    only = F.when(F.size("cands") == 1, F.get("cands", F.lit(0)))
-    rows = rows.withColumn("_only", only)
-    if params.scope == "session":
-        rows = rows.withColumn("_group", F.col("session_id"))
-    else:
-        rows = rows.withColumn("_group", F.lit(0))
-    seen_before = F.struct("_only", "_group")
-    rows = rows.withColumns({"_p1": F.lag(seen_before, 1).over(order), "_p2": F.lag(seen_before, 2).over(order)})
-    line = F.col("_p1._only.line_id")
-    decided = (F.col("_p1._group") == F.col("_group")) & (
-        F.col("_p1._only.has_zero")
-        | F.coalesce((F.col("_p2._group") == F.col("_group")) & (F.col("_p2._only.line_id") == line), F.lit(False))
-    )
-    clears = F.exists("cands", lambda c: c["has_zero"]) | ~F.exists(
-        "cands", lambda c: c["line_id"] == F.col("_decided_line")
-    )
+
+    any_due = F.size("cands") > 0
+    lines = F.transform("cands", lambda c: c["line_id"])
+    group = F.col("session_id").cast("bigint") if params.scope == "session" else F.lit(0).cast("bigint")
+    rows = steps.withColumns({
+        "_lines": F.when(any_due, lines),
+        "_seen": F.struct(F.when(F.size("cands") == 1, F.get("cands", F.lit(0))).alias("only"), group.alias("group")),
+    })
     rows = rows.withColumns({
-        "_decided": F.coalesce(decided, F.lit(False)), "_decided_line": line,
+        "_earlier": F.last("_lines", ignorenulls=True).over(before),
+        "_p1": F.lag("_seen", 1).over(order), "_p2": F.lag("_seen", 2).over(order),
     })
-    rows = rows.withColumn(
-        "_cut", F.col("_decided") & (F.size("cands") > 0) & F.coalesce(clears, F.lit(False))
-    )
-    seen = F.max("_cut").over(so_far)
-
-    summary = rows.groupBy("vehicle_id", "_chunk").agg(F.max("_cut").alias("_has_cut"))
-    earlier = Window.partitionBy("vehicle_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        F.col("vehicle_id").alias("_v"), F.col("_chunk").alias("_c"),
-        F.coalesce(
-            F.last(F.when(F.col("_has_cut"), F.col("_chunk")), ignorenulls=True).over(earlier), F.lit(NO_PART)
-        ).cast("bigint").alias("_carried"),
+    apart = ~F.arrays_overlap("_earlier", "_lines")
+    line = F.col("_p1.only.line_id")
+    certain = params.first_stop_votes >= params.single_min_votes <= 2 * params.other_stop_votes
+    decided = F.lit(certain) & (F.col("_p1.group") == F.col("_seen.group")) & (
+        F.col("_p1.only.has_zero")
+        | F.coalesce((F.col("_p2.group") == F.col("_seen.group")) & (F.col("_p2.only.line_id") == line), F.lit(False))
     )
-    rows = rows.withColumn("_seen", seen)
-    joined = rows.join(
-        carried, rows["vehicle_id"].eqNullSafe(carried["_v"]) & (rows["_chunk"] == carried["_c"])
+    clears = F.exists("cands", lambda c: c["has_zero"]) | ~F.array_contains("_lines", F.col("_p1.only.line_id"))
+    restart = any_due & (F.coalesce(apart, F.lit(False)) | F.coalesce(decided & clears, F.lit(False)))
+    rows = rows.withColumn("_cut", restart)
+    rows = rows.withColumn("_any", F.max("_cut").over(so_far))
+
+    # One row per chunk: where no restart was seen yet, the part goes on from an earlier chunk.
+    chunks = rows.groupBy("vehicle_id", CHUNK).agg(F.max("_cut").alias("_has"))
+    earlier = Window.partitionBy("vehicle_id").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(
+        F.col("vehicle_id").alias("_v"), F.col(CHUNK).alias("_c"),
+        F.coalesce(F.last(F.when(F.col("_has"), F.col(CHUNK)), ignorenulls=True).over(earlier), F.lit(NO_PART))
+        .alias("_carried"),
     )
+    joined = rows.join(carried, rows["vehicle_id"].eqNullSafe(carried["_v"]) & (rows[CHUNK] == carried["_c"]))
     return joined.withColumn(
-        "part", F.when(F.col("_seen"), F.col("_chunk")).otherwise(F.col("_carried"))
-    ).drop("_chunk", "_only", "_group", "_p1", "_p2", "_decided", "_decided_line", "_cut", "_seen", "_v", "_c", "_carried")
+        "part", F.when(F.col("_any"), F.col(CHUNK)).otherwise(F.col("_carried"))
+    ).drop("_lines", "_seen", "_earlier", "_p1", "_p2", "_cut", "_any", "_v", "_c", "_carried")
 
 
 def vote_fold(steps: DataFrame, params: MatchParams) -> DataFrame:
@@ -153,15 +151,32 @@ def _folder(passed: list[str], params: MatchParams):
 
 
 def backfill(folded: DataFrame, params: MatchParams) -> DataFrame:
-    """Add ``line_id``: the line decided here or at the next decision of the group.
+    """Add ``line_id``: the line decided here or at the next decision of the scope.
 
     Looking backwards in descending order keeps the frame growing by one row; a
-    frame to the end of the group would be evaluated anew for every row.
+    frame to the end of the group would be evaluated anew for every row. Hot
+    vehicles look within their chunk first; a summary with one row per chunk then
+    brings the first decision of later chunks.
     """
-    newest_first = Window.partitionBy(*vote_group(params)).orderBy(F.desc("time"), F.desc("seq_no"))
+    scope, chunked = _scope(params), CHUNK in folded.columns
+    place = [*scope, CHUNK] if chunked else vote_group(params)
+    newest_first = Window.partitionBy(*place).orderBy(F.desc("time"), F.desc("seq_no"))
     so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return folded.withColumns({
-        "line_id": F.last("det", ignorenulls=True).over(so_far),
-        "detected": F.col("det").isNotNull(),
-        "at_start": F.coalesce("at_start", F.lit(False)),
+    filled = folded.withColumn("line_id", F.last("det", ignorenulls=True).over(so_far))
+    if chunked:
+        filled = _from_later_chunks(filled, folded, scope)
+    return filled.withColumns({
+        "detected": F.col("det").isNotNull(), "at_start": F.coalesce("at_start", F.lit(False)),
     }).drop("det")
+
+
+def _from_later_chunks(filled: DataFrame, folded: DataFrame, scope: list[str]) -> DataFrame:
+    first = F.min_by("det", F.when(F.col("det").isNotNull(), F.struct("time", "seq_no")))
+    chunks = folded.groupBy(*scope, CHUNK).agg(first.alias("_first"))
+    later = Window.partitionBy(*scope).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+    names = {c: f"_of_{c}" for c in [*scope, CHUNK]}
+    carried = chunks.withColumn("_next", F.last("_first", ignorenulls=True).over(later)).drop("_first")
+    carried = carried.withColumnsRenamed(names)
+    same = [filled[c].eqNullSafe(carried[names[c]]) for c in names]
+    joined = filled.join(carried, same)
+    return joined.withColumn("line_id", F.coalesce("line_id", "_next")).drop(*names.values(), "_next", CHUNK)

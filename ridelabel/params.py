@@ -25,12 +25,11 @@ class MatchParams:
     scope: str = "session"
 
     # Physical sizing. They change how the work is cut, never the result.
-    # A vehicle with more rows than this is cut into time chunks.
+    # A vehicle with more rows than this is cut into time chunks of about as many.
     hot_vehicle_rows: int = 5_000_000
-    chunk_seconds: int = 3600
-    # Timetable tables are broadcast only up to this many source rows.
-    broadcast_rows: int = 1_000_000
-    # Above it they are shuffled, each key spread over this many salts.
+    # Each timetable table is broadcast only up to this many bytes.
+    broadcast_bytes: int = 64 << 20
+    # Above it the table is shuffled, each key spread over this many salts.
     join_salts: int = 16
 
     def __post_init__(self) -> None:

@@ -1,72 +1,115 @@
-"""Whole pipelines: collapse, match, enrich, and their partitioned and swept runs."""
+"""Whole pipelines: collapse, match, enrich, and their partitioned and swept runs.
+
+Vehicles with more rows than one task should hold are found by one counting pass at
+the start of each pipeline. They take the same steps cut into chunks of time.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridelabel.functions.timekeys import bucket
 from ridelabel.operators import match, vote
 from ridelabel.operators.collapse import collapse_runs
+from ridelabel.operators.index import SIZE_STEP
 from ridelabel.operators.sessions import valid_positions, with_cell, with_runs
-from ridelabel.operators.skew import cut_lineage, split_hot
+from ridelabel.operators.skew import CHUNK, cut_lineage, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
 
 
-def collapse_waypoints(waypoints: DataFrame, params: MatchParams = MatchParams(),
-                       chunked: bool = False) -> DataFrame:
-    """Keypoints: one row per vehicle, session and run within a coarse tile."""
-    rows = valid_positions(waypoints)
-    if not chunked:
+def _by_heat(rows: DataFrame, params: MatchParams) -> list[DataFrame]:
+    """Rows of ordinary vehicles and, if there are any, of hot ones with their chunks."""
+    cold, hot = split_hot(rows, "vehicle_id", "time", params.hot_vehicle_rows)
+    return [cold] if hot is None else [cold, hot]
+
+
+def _joined(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _runs(rows: DataFrame, params: MatchParams) -> DataFrame:
+    if CHUNK not in rows.columns:
         # The windows need this placement anyway; computing tiles behind it keeps
         # them out of the shuffle and spreads their cost over all tasks.
         rows = rows.repartition("vehicle_id")
-    return collapse_runs(with_runs(with_cell(rows), params, chunked))
+    return with_runs(with_cell(rows), params)
 
 
-def fold_lines(keypoints: DataFrame, master: MasterData, params: MatchParams,
-               chunked: bool = False) -> DataFrame:
-    """Keypoints with the line decided at each (``det``); keys kept for later joins."""
-    keyed = match.place_time_keys(keypoints, params)
+def _keypoints(waypoints: DataFrame, params: MatchParams) -> list[DataFrame]:
+    """Keypoints of ordinary vehicles, and of hot ones, which later steps read more than once."""
+    cold, *hot = _by_heat(valid_positions(waypoints), params)
+    found = [collapse_runs(_runs(cold, params))]
+    for rows in hot:
+        keypoints = cut_lineage(collapse_runs(_runs(rows, params)))
+        found.append(with_chunks(keypoints, "vehicle_id", "time", params.hot_vehicle_rows))
+    return found
+
+
+def number_runs(waypoints: DataFrame, params: MatchParams = MatchParams()) -> DataFrame:
+    """Waypoints with a position, their session and their run within a coarse tile."""
+    return _joined([_runs(rows, params) for rows in _by_heat(valid_positions(waypoints), params)])
+
+
+def collapse_waypoints(waypoints: DataFrame, params: MatchParams = MatchParams()) -> DataFrame:
+    """Keypoints: one row per vehicle, session and run within a coarse tile."""
+    return _joined([collapse_runs(_runs(rows, params)) for rows in _by_heat(valid_positions(waypoints), params)])
+
+
+def _vote(keyed: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     # Every tile of the index has a stop (see MasterData), so a due line implies one near.
     found = match.with_candidates(keyed, master, params).drop("bucket")
-    return vote.vote_fold(vote.with_parts(found, params, chunked), params)
+    return vote.vote_fold(vote.with_parts(found, params), params)
 
 
-def label_lines(keypoints: DataFrame, master: MasterData, params: MatchParams,
-                chunked: bool = False) -> DataFrame:
-    """Keypoints with ``line_id``, ``detected`` and ``at_start``."""
-    return vote.backfill(fold_lines(keypoints, master, params, chunked), params)
+def _fold(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+    return _vote(match.place_time_keys(keypoints, params), master, params)
 
 
-def match_lines(keypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams(),
-                chunked: bool = False) -> DataFrame:
-    """Keypoints labelled with line, route details and nearest serving stop."""
-    labelled = label_lines(keypoints, master, params, chunked)
+def _label(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+    return vote.backfill(_fold(keypoints, master, params), params)
+
+
+def _match(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+    labelled = _label(keypoints, master, params)
     # Route details are wide: they come last, behind the stop lookup.
     stopped = match.with_nearest_serving_stop(labelled, master, params)
     detailed = match.with_line_details(stopped, master, params)
     return match.with_stop_naming(detailed).drop("tile7", "part", "at_start")
 
 
+def _on_keypoints(step: Callable, waypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+    return _joined([step(keypoints, master, params) for keypoints in _keypoints(waypoints, params)])
+
+
+def fold_lines(waypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """Keypoints with the line decided at each (``det``); keys kept for later joins."""
+    return _on_keypoints(lambda *a: _fold(*a).drop(CHUNK), waypoints, master, params)
+
+
+def label_lines(waypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """Keypoints with ``line_id``, ``detected`` and ``at_start``."""
+    return _on_keypoints(_label, waypoints, master, params)
+
+
+def match_lines(keypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """Stored keypoints labelled with line, route details and nearest serving stop."""
+    return _joined([_match(rows, master, params) for rows in _by_heat(keypoints, params)])
+
+
 def enrich(waypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams(),
            entity: str = "vehicle_id") -> DataFrame:
-    """The whole job on stored waypoints.
+    """The whole job on stored waypoints: labelled keypoints.
 
     Ordinary vehicles go through one shuffle of the waypoints and one of the
-    keypoints. A vehicle with more rows than one task should hold takes the same
-    steps cut into time chunks; its keypoints are checkpointed because several
-    passes read them. ``entity`` names the key column of any other GPS trace.
+    keypoints. ``entity`` names the key column of any other GPS trace.
     """
     rows = waypoints if entity == "vehicle_id" else waypoints.withColumn("vehicle_id", F.col(entity))
-    cold, hot = split_hot(rows, "vehicle_id", params.hot_vehicle_rows)
-    result = match_lines(collapse_waypoints(cold, params), master, params)
-    if hot is None:
-        return result
-    keypoints = cut_lineage(collapse_waypoints(hot, params, chunked=True))
-    return result.unionByName(match_lines(keypoints, master, params, chunked=True))
+    return _on_keypoints(_match, rows, master, params)
 
 
 def enrich_partitioned(waypoints: DataFrame, master: MasterData, partition: Column,
@@ -85,18 +128,30 @@ def enrich_partitioned(waypoints: DataFrame, master: MasterData, partition: Colu
 
 def bucket_sweep(waypoints: DataFrame, stops: DataFrame, lines: DataFrame, departures: DataFrame,
                  bucket_minutes: list[int], params: MatchParams = MatchParams()) -> DataFrame:
-    """Labelled share of the keypoints for several bucket sizes, one row per size."""
-    keypoints = collapse_waypoints(waypoints, params)
-    outcomes = []
-    for minutes in bucket_minutes:
-        setting = params.with_(bucket_minutes=minutes)
-        master = MasterData.from_timetable(stops, lines, departures, setting)
-        outcomes.append(
-            label_lines(keypoints, master, setting).agg(
-                F.lit(minutes).alias("bucket_minutes"),
-                F.count(F.lit(1)).alias("keypoints"),
-                F.count("line_id").alias("labelled"),
-                F.sum(F.col("detected").cast("bigint")).alias("detected"),
-            )
-        )
-    return reduce(DataFrame.unionByName, outcomes)
+    """Labelled share of the keypoints for several bucket sizes, one row per size.
+
+    One job for all sizes: the size is part of the vehicle key and of the bucket's number.
+    """
+    sizes = [params.with_(bucket_minutes=m).bucket_minutes for m in bucket_minutes]
+    master = MasterData.from_timetable(stops, lines, departures, params, sizes)
+
+    def sized(keypoints: DataFrame) -> DataFrame:
+        size = F.explode(F.array(*map(F.lit, sizes)))
+        keyed = match.place_time_keys(keypoints, params).withColumn("bucket_minutes", size)
+        return keyed.withColumns({
+            "bucket": F.col("bucket_minutes") * SIZE_STEP + bucket(F.col("time"), params.zone, F.col("bucket_minutes")),
+            "vehicle_id": F.struct("bucket_minutes", "vehicle_id"),
+        })
+
+    labelled = _joined([
+        vote.backfill(_vote(sized(keypoints), master, params), params) for keypoints in _keypoints(waypoints, params)
+    ])
+    found = labelled.groupBy("bucket_minutes").agg(
+        F.count(F.lit(1)).alias("_keypoints"), F.count("line_id").alias("_labelled"),
+        F.sum(F.col("detected").cast("bigint")).alias("_detected"),
+    )
+    asked = waypoints.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, sizes))).alias("bucket_minutes"))
+    # One row per size; a size without keypoints has zeros.
+    return asked.join(F.broadcast(found), "bucket_minutes", "left").select("bucket_minutes", *[
+        F.coalesce(f"_{c}", F.lit(0)).alias(c) for c in ("keypoints", "labelled", "detected")
+    ])

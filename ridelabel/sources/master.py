@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ridelabel.functions import tiles
 from ridelabel.operators.index import (
+    STOP_FIELDS,
     candidate_lists,
     line_index,
     nested_departures,
@@ -45,7 +46,7 @@ class MasterData:
     details   line_id -> routeName, routeDetails
     serving   tile7, line_id -> serving (stops)
     placed    every stop with its tile7
-    small     all sources counted and within ``broadcast_rows``
+    small     names of the tables measured to fit into ``broadcast_bytes``
     """
 
     occupied: DataFrame
@@ -53,19 +54,18 @@ class MasterData:
     details: DataFrame
     serving: DataFrame
     placed: DataFrame
-    small: bool
+    small: frozenset[str]
 
     @classmethod
-    def from_timetable(cls, stops: DataFrame, lines: DataFrame, departures: DataFrame,
-                       params: MatchParams) -> "MasterData":
+    def from_timetable(cls, stops: DataFrame, lines: DataFrame, departures: DataFrame, params: MatchParams,
+                       sizes: list[int] | None = None) -> "MasterData":
         """Build the index from planned departures (line_id, seq, IFOPT, dep_sec).
 
-        Index and service have at most two rows per departure, so counting the
-        three sources bounds every table derived from them.
+        ``sizes`` makes it hold several bucket sizes at once (see ``line_index``).
         """
-        small = within(params.broadcast_rows, stops, lines, departures)
-        return cls._build(stops, lines, line_index(departures, stops, params), service_table(departures),
-                          small, params)
+        index = line_index(departures, stops, params, sizes)
+        # The index has two rows per departure and size, the service at most one per departure.
+        return cls._build(stops, lines, index, service_table(departures), departures, 2 * len(sizes or [1]), params)
 
     @classmethod
     def from_index(cls, stops: DataFrame, lines: DataFrame, index: DataFrame,
@@ -76,16 +76,31 @@ class MasterData:
         """
         service = service_table(nested_departures(stops))
         index = index.join(stop_tiles(stops, params).select("tile7").distinct(), "tile7", "left_semi")
-        small = within(params.broadcast_rows, stops, lines, index, service)
-        return cls._build(stops, lines, index, service, small, params)
+        entries = index.select("line_id").unionAll(service.select("line_id"))
+        return cls._build(stops, lines, index, service, entries, 1, params)
 
     @classmethod
-    def _build(cls, stops, lines, index, service, small: bool, params: MatchParams) -> "MasterData":
+    def _build(cls, stops: DataFrame, lines: DataFrame, index: DataFrame, service: DataFrame, entries: DataFrame,
+               factor: int, params: MatchParams) -> "MasterData":
+        """``entries`` times ``factor`` bounds the rows of index and service."""
         placed = stop_tiles(stops, params)
-        return cls(
-            placed.select("tile7").distinct(), candidate_lists(index), line_details(lines),
-            serving_stops(placed, service), placed, small,
-        )
+        tables = {
+            "occupied": placed.select("tile7").distinct(), "due": candidate_lists(index), "details": line_details(lines),
+            "serving": serving_stops(placed, service), "placed": placed,
+        }
+        # One pass over the sources bounds most tables; those it leaves open are measured themselves.
+        source = measured(stops=stops.select(*STOP_FIELDS), details=tables["details"], entries=entries.select("line_id"))
+        (stop_rows, stop_bytes, widest), (_, line_bytes, _), (rows, id_bytes, _) = (
+            source[n] for n in ("stops", "details", "entries"))
+        bounds = {
+            "occupied": 16 * stop_rows, "placed": stop_bytes + 16 * stop_rows, "details": line_bytes,
+            "due": factor * (id_bytes + 32 * rows), "serving": rows * (widest + 32),
+        }
+        limit = params.broadcast_bytes
+        small = {n for n, size in bounds.items() if size <= limit}
+        if unsure := {n: tables[n] for n in bounds if n not in small}:
+            small |= {n for n, (_, size, _) in measured(**unsure).items() if size <= limit}
+        return cls(**tables, small=frozenset(small))
 
     def persisted(self) -> "MasterData":
         """The same tables kept by Spark, for callers that match more than once."""
@@ -106,10 +121,20 @@ def line_details(lines: DataFrame) -> DataFrame:
     )
 
 
-def within(max_rows: int, *tables: DataFrame) -> bool:
-    """Whether each table has at most ``max_rows`` rows (one job counts them all)."""
-    counts = [t.agg(F.count(F.lit(1)).alias("n")) for t in tables]
-    return reduce(DataFrame.unionAll, counts).agg(F.max("n")).first()[0] <= max_rows
+def measured(**tables: DataFrame) -> dict[str, tuple[int, int, int]]:
+    """Rows, bytes and widest row of each table, in one job.
+
+    A row counts as its JSON text and eight bytes per field, which is about what
+    it takes as a row in memory.
+    """
+    def measure(name: str, table: DataFrame) -> DataFrame:
+        size = F.octet_length(F.to_json(F.struct("*"))) + F.lit(8 * len(table.columns))
+        return table.select(size.cast("bigint").alias("size")).agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.coalesce(F.max("size"), F.lit(0)).alias("widest"))
+
+    found = reduce(DataFrame.unionAll, [measure(n, t) for n, t in tables.items()])
+    return {r["name"]: (r["n"], r["total"], r["widest"]) for r in found.toLocalIterator()}
 
 
 def load_stops(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ridelabel.operators import index, match, vote
 from ridelabel.operators.collapse import DOORS
 from ridelabel.operators.sessions import with_cell, with_runs
-from ridelabel.operators.skew import cut_lineage, lookup, split_hot
+from ridelabel.operators.skew import cut_lineage, lookup, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.plans import enrich as plans
 from ridelabel.sources import fixtures as fx
@@ -93,15 +93,15 @@ def walk(vehicles=3, steps=400, seed=1):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [60, 900, 36_000])
-def test_time_chunks_give_the_same_keypoints(spark, chunk):
+@pytest.mark.parametrize("most", [0, 20, 400])
+def test_time_chunks_give_the_same_keypoints(spark, most):
     w = frame(spark, walk())
     def rows(df):
         return sorted(repr((r.vehicle_id, r.session_id, r.run_id, r)) for r in df.collect())
 
     direct = rows(plans.collapse_waypoints(w, P))
     assert len(direct) > 500
-    assert rows(plans.collapse_waypoints(w, P.with_(chunk_seconds=chunk), chunked=True)) == direct
+    assert rows(plans.collapse_waypoints(w, P.with_(hot_vehicle_rows=most))) == direct
 
 
 RESULT = ["vehicle_id", "session_id", "run_id", "geo_Hash", "line_id", "detected", "routeName",
@@ -115,38 +115,72 @@ def test_hot_vehicles_get_the_same_result(master, waypoints, scope):
     w = waypoints
     want = plans.enrich(w, master, params).select(RESULT).persist()
     for limit in (0, 66):
-        hot = plans.enrich(w, master, params.with_(hot_vehicle_rows=limit, chunk_seconds=300)).persist()
+        hot = plans.enrich(w, master, params.with_(hot_vehicle_rows=limit)).persist()
         assert hot.count() == want.count()
         assert hot.select(RESULT).exceptAll(want).isEmpty()
 
 
 def test_one_vehicle_id_for_all_is_cut_into_parts(master, waypoints):
-    """All waypoints under one id: certain restarts cut it, the result stays."""
-    params = P.with_(scope="vehicle", chunk_seconds=60)
+    """All waypoints under one id: restarts cut it, the result stays."""
+    params = P.with_(scope="vehicle")
     w = waypoints.withColumn("vehicle_id", F.lit(1))
     keypoints = cut_lineage(plans.collapse_waypoints(w, params))
     keyed = match.place_time_keys(keypoints, params)
     steps = match.with_candidates(keyed, master, params)
-    parts = vote.with_parts(steps, params, chunked=True)
-    assert parts.select("part").distinct().count() > 3
+    parts = vote.with_parts(with_chunks(steps, "vehicle_id", "time", 10), params)
+    assert parts.select("part").distinct().count() > 20
     want = plans.match_lines(keypoints, master, params).select(RESULT)
-    got = plans.match_lines(keypoints, master, params, chunked=True).select(RESULT).persist()
+    got = plans.match_lines(keypoints, master, params.with_(hot_vehicle_rows=10)).select(RESULT).persist()
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
+@pytest.mark.parametrize("column", ["seq_no", "time", "vehicle_id"])
+def test_hot_vehicles_with_nulls_get_the_same_result(spark, column):
+    """Order numbers missing everywhere; times or vehicles missing in every fifth row."""
+    w = frame(spark, walk())
+    gone = F.lit(True) if column == "seq_no" else F.col("seq_no") % 5 == 0
+    w = w.withColumn(column, F.when(~gone, F.col(column)))
+    def rows(df):
+        return sorted(repr(tuple(r)) for r in df.select("vehicle_id", "session_id", "run_id", "time", "geo_Hash").collect())
+
+    want = rows(plans.collapse_waypoints(w, P))
+    assert len(want) > 100
+    for most in (0, 20):
+        assert rows(plans.collapse_waypoints(w, P.with_(hot_vehicle_rows=most))) == want
+
+
+def test_labels_of_unmatched_rows_stay(spark, master, waypoints):
+    kept = plans.collapse_waypoints(waypoints, P).withColumn("routeName", F.lit("own"))
+    got = plans.match_lines(kept, master, P)
+    assert got.where("line_id IS NULL AND routeName = 'own'").count() == got.where("line_id IS NULL").count() > 0
+    assert got.where("line_id IS NOT NULL AND routeName = 'own'").isEmpty()
+
+
 def test_large_timetables_are_shuffled_with_the_same_result(spark, sf_dir, master, waypoints):
-    large = fx.fixture_master(spark, sf_dir, P.with_(broadcast_rows=10))
-    assert master.small and not large.small
-    large = replace(master, small=False)
-    want, got = (plans.enrich(waypoints, m, P).select(RESULT).persist() for m in (master, large))
-    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    everything = {"occupied", "due", "details", "serving", "placed"}
+    assert master.small == everything
+    assert not fx.fixture_master(spark, sf_dir, P.with_(broadcast_bytes=10)).small
+    some = fx.fixture_master(spark, sf_dir, P.with_(broadcast_bytes=30_000)).small
+    assert "occupied" in some and "due" not in some
+    want = plans.enrich(waypoints, master, P).select(RESULT).persist()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for large in ({"due"}, everything):
+            got = plans.enrich(waypoints, replace(master, small=frozenset(everything - large)), P).select(RESULT)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == len(large & {"due", "serving", "details"})
+            assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_split_and_lookup_with_hot_and_null_keys(spark):
-    big = spark.range(1000).select(F.when(F.col("id") < 600, 1).when(F.col("id") < 900, F.col("id")).alias("k"), "id")
-    cold, hot = split_hot(big, "k", 50)
+    big = spark.range(1000).select(F.when(F.col("id") < 600, 1).when(F.col("id") < 900, F.col("id")).alias("k"), "id", F.timestamp_seconds("id").alias("time"))
+    cold, hot = split_hot(big, "k", "time", 50)
+    assert hot.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 60
     assert hot.count() == 700 and cold.count() == 300
-    assert split_hot(big, "k", 5000)[1] is None
+    assert split_hot(big, "k", "time", 5000)[1] is None
     small = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
     for flag in (True, False):
         found = lookup(big, small, ["k"], flag, 8, [F.col("id")])
