@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ridelabel.llm.infill import FimParams
 from ridelabel.llm.mixing import Curriculum
 from ridelabel.llm.urls import LONG_SUFFIXES, RULES, ReputationParams
 
@@ -155,6 +156,52 @@ from y
 """
 
 
+_RANKED = r"""
+with w as (
+  select row_number() over () row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') ws from documents),
+d as (select row, doc_id, ws, len(ws) n from w where len(ws) > 0),
+s as (select count(*) docs, sum(n)::bigint total from d),
+t as (select row, term, count(*) tf from (select row, unnest(ws) term from d) group by all),
+q as (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from benchmark),
+f as (select term, count(*) df from t group by term),
+wt as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint weight from f, s),
+h as (
+  select item_id, row, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // total)))))::bigint score
+  from q join t using (term) join wt using (term) join d using (row), s group by all),
+r as (
+  select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+  from h join d using (row) where score > 0)
+select * from r where rank <= 10
+"""
+
+
+def _infill(params: FimParams = FimParams()) -> str:
+    p, s, m = (f"'{x.decode()}'" for x in params.sentinels)
+    first, second = "least(a, b)", "greatest(a, b)"
+
+    def lines(begin: str, end: str) -> str:
+        return f"array_to_string(ls[{begin} + 1:{end}], '')"
+
+    return f"""
+with d as (
+  select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') ls,
+    sha256('{params.seed}:' || coalesce(doc_id::varchar, '')) x from documents),
+h as (select *, len(ls) n, {', '.join(f"('0x' || substr(x, {8 * i + 1}, 8))::bigint h{i + 1}" for i in range(4))} from d),
+c as (select *, h1 % (n + 1) a, h2 % (n + 1) b,
+  case when t = '' or contains(t, {p}) or contains(t, {s}) or contains(t, {m}) or h3 % 100 >= {params.rate} then 'plain'
+    when h4 % 100 < {params.spm} then 'spm' else 'psm' end form from h),
+q as (select doc_id, n, form, t, {lines('0', first)} pre, {lines(first, second)} mid, {lines(second, 'n')} suf from c)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end prefix_chars,
+  case when form <> 'plain' then length(mid) end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then {p} || pre || {s} || suf || {m} || mid
+    else {s} || suf || {p} || pre || {m} || mid end) output_sha256, sha256(t) restored_sha256
+from q
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": _urls(),
@@ -163,4 +210,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": _mixing(),
         "op8_decontamination": _DECONTAMINATION,
         "op10_near_duplicates": _NEAR,
+        "op12_search": _RANKED,
+        "op13_fill_in_middle": _infill(),
     }

@@ -11,12 +11,15 @@ from ridelabel.llm.common import read
 from ridelabel.llm.decontaminate import decontaminate
 from ridelabel.llm.exact_dedup import exact_dedup
 from ridelabel.llm.html_text import main_text
+from ridelabel.llm.infill import fill_in_middle, restore
 from ridelabel.llm.langid import identify
 from ridelabel.llm.line_dedup import line_dedup
 from ridelabel.llm.minhash import near_duplicates
 from ridelabel.llm.mixing import mix
+from ridelabel.llm.packing import PackParams, pack
 from ridelabel.llm.pii import KINDS, find_pii, listed
 from ridelabel.llm.quality import quality
+from ridelabel.llm.search import ranked_search
 from ridelabel.llm.urls import judge_urls
 
 
@@ -75,6 +78,26 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    rows = pack(read(spark, sf_dir, "documents"), PackParams(path("byte_bpe_50k.json")))
+    return rows.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(read(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256")
+    kept = ("doc_id", "n", "form", "prefix_chars", "middle_chars")
+    back = restore(rows.select(*kept, "output", digest), keep=(*kept, "output_sha256"))
+    return back.select(*kept, "output_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -87,4 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_pii": op9_pii,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_packing": op11_packing,
+        "op12_search": op12_search,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }

@@ -1,0 +1,300 @@
+"""Packing, ranked search and fill-in-middle."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ridelabel.llm import oracles, queries, search
+from ridelabel.llm.infill import FimParams, exchange, fill_in_middle, restore, rotated, unrotated
+from ridelabel.llm.packing import Encoder, PackParams, Sequences, pack, place
+from ridelabel.llm.search import Lists, RankParams, best_positions, ranked_search
+from tests.compare import compare, connect
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+# Packing
+
+@pytest.fixture(scope="module")
+def plain_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(BPE)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(BPE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab'st Ω1!.\n\t\r\x0b\x0c\x1c\x1f\x85\xa0     　字é€<|>")) | st.text())
+def test_encoding_word_by_word_gives_the_same_ids(plain_ids, encoder, text):
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(text)
+
+
+def test_encoder_starts_anew_when_it_knows_too_much(plain_ids, monkeypatch):
+    monkeypatch.setattr("ridelabel.llm.packing.KNOWN_WORDS", 3)
+    small = Encoder(BPE)
+    for text in ("one two three four", "four five <|endoftext|> one", "x" * 300 + " one"):
+        assert np.frombuffer(small.encode(text), "<u4").tolist() == plain_ids(text)
+        assert "x" * 300 not in small.known
+
+
+def _placed_plainly(lengths, params):
+    """The same rule by looking at all sequences every time."""
+    free = [params.capacity] * -(-sum(lengths) // params.capacity)
+    cost = [0.0] * len(free)
+    waiting = [(-n, i, 0) for i, n in enumerate(lengths)]
+    out = []
+    while waiting:
+        waiting.sort()
+        size, piece, skip = waiting.pop(0)
+        fits = [(cost[s], s) for s in range(len(free)) if free[s] >= -size]
+        s = min(fits)[1] if fits else min(range(len(free)), key=lambda s: (-free[s], cost[s], s))
+        taken = min(-size, free[s])
+        out.append((piece, skip, taken, s, params.capacity - free[s]))
+        free[s] -= taken
+        cost[s] += params.cost(taken)
+        if taken < -size:
+            waiting.append((size + taken, piece, skip + taken))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 31), max_size=60))
+def test_placing_follows_the_rule(lengths):
+    params = PackParams(BPE, capacity=32, quadratic=0.25)
+    assert place(lengths, params) == _placed_plainly(lengths, params)
+
+
+def test_sequences_prefer_low_cost_with_room():
+    sequences = Sequences(2, 10)
+    room, first, cost = sequences.take(4)
+    sequences.give(room - 4, first, cost + 9)
+    room, second, cost = sequences.take(8)
+    assert (room, second) == (10, 1 - first)
+    sequences.give(room - 8, second, cost + 1)
+    assert sequences.take(2)[1] == second and sequences.take(2)[1] == first
+
+
+def _check_packed(rows, docs, plain_ids, params):
+    """Every document whole, every sequence gapless; the number of partly empty sequences."""
+    want = Counter((i, tuple(plain_ids(t or "") + [params.end_id])) for i, t in docs)
+    parts, sequences = {}, {}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length > 0
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        parts.setdefault(r.doc_id, []).append((r.start, ids, r.doc_tokens))
+    for held in sequences.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= params.capacity
+    for i, held in parts.items():
+        copies = [ids for (d, ids), n in want.items() for _ in range(n) if d == i]
+        assert Counter(t for _, ids, _ in held for t in ids) == Counter(t for ids in copies for t in ids)
+        if len(copies) == 1:
+            assert sum((ids for _, ids, _ in sorted(held)), []) == list(copies[0])
+            assert all(start == sum(len(x) for s, x, _ in held if s < start) for start, _, _ in held)
+            assert {n for _, _, n in held} == {len(copies[0])}
+    assert set(parts) == {i for i, _ in docs}
+    return sum(sum(n for _, n in held) < params.capacity for held in sequences.values())
+
+
+def test_packing_keeps_every_id_once(frame, plain_ids):
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choice(["stop", "line", "Ωmega", "12:30", "\n"]) for _ in range(rng.randrange(90)))) for i in range(60)]
+    docs += [(100, None), (101, ""), (102, "word " * 3000), (103, "same text"), (103, "same text"), (104, "<|endoftext|>"), (105, "x" * 5000)]
+    params = PackParams(BPE, capacity=64, group_tokens=1000)
+    rows = pack(frame(docs), params).collect()
+    total = sum(r.length for r in rows)
+    padding = 64 * len({r.sequence_id for r in rows}) - total
+    groups = -(-sum(r.length for r in rows if r.sequence_id % 2 == 0) // 1000)
+    assert _check_packed(rows, docs, plain_ids, params) > 0 and padding < 64 * groups
+    assert {(r.start, r.length, r.doc_tokens) for r in rows if r.doc_id in (100, 101)} == {(0, 1, 1)}
+    assert pack(frame([]), params).collect() == []
+
+
+def test_packing_query_covers_the_table(spark, sf_dir, plain_ids):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    whole = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), PackParams(BPE)).collect()
+    assert _check_packed(whole, docs, plain_ids, PackParams(BPE)) <= 2048
+    padding = 2048 * len({r.sequence_id for r in whole}) - sum(r.length for r in whole)
+    assert padding < 2048
+    rows = queries.op11_packing(spark, sf_dir).collect()
+    assert sum(r.length for r in rows) == sum(len(plain_ids(t or "")) + 1 for _, t in docs)
+    by_start = {(r.doc_id, r.start, r.length): zlib.crc32(r.ids) for r in whole}
+    assert {(r.doc_id, r.start, r.length): r.ids_crc32 for r in rows if (r.doc_id, r.start, r.length) in by_start}.items() <= by_start.items()
+
+
+# Ranked search
+
+def _terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def _ranked(docs, items, k=10):
+    held = [(i, Counter(_terms(t))) for i, t in docs]
+    held = [(i, c) for i, c in held if c]
+    n, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(_terms(t))
+    out = []
+    for item, terms in asked.items():
+        scores = []
+        for d, c in held:
+            m = 10 + 90 * sum(c.values()) * n // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t in terms if t in c)
+            if score > 0:
+                scores.append((-score, d is None, d or 0))
+        out += [(item, rank + 1, None if null else d, -s) for rank, (s, null, d) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.fixture
+def items(spark):
+    return lambda rows: spark.createDataFrame(rows, "item_id long, text string, rank string, score int, block int, item string, body int") \
+        if rows else spark.createDataFrame([], "item_id long, text string")
+
+
+def _item(i, text):
+    return (i, text, "r", 1, 2, "x", 3)
+
+
+def test_search_equals_brute_force(frame, items):
+    rng = random.Random(5)
+    words = ["bus", "Bus", "tram", "Straße", "字字", "a1", "x-y", "the", "the", "the"] + [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 40)))) for i in range(150)]
+    docs += [(200, None), (201, ""), (202, " .,; "), (203, "the " * 20_000 + "tram"), (None, "tram bus")]
+    docs += [(300 + i, "tram bus tram") for i in range(25)] + [(7, "tram bus tram")] * 3
+    asked = [(1, "the tram"), (2, "BUS! bus, Straße"), (3, None), (4, "..."), (5, "unknown"), (6, "w1 w2 w3 w4 w5 w6 the"),
+             (7, "字字"), (1, "w7"), (None, "bus w9"), (8, " ".join(words))]
+    got = ranked_search(frame(docs), items([_item(*a) for a in asked]), shard_postings=200, block_bytes=60)
+    want = _ranked(docs, asked)
+    assert sorted((tuple(r) for r in got.select("item_id", "rank", "doc_id", "score").collect()), key=repr) == want
+    one = ranked_search(frame(docs), items([_item(*a) for a in asked]))
+    assert sorted((tuple(r) for r in one.select("item_id", "rank", "doc_id", "score").collect()), key=repr) == want
+
+
+def test_search_of_empty_tables(frame, items):
+    asked = items([_item(1, "tram")])
+    for found in (ranked_search(frame([]), asked), ranked_search(frame([(1, "tram")]), items([])),
+                  ranked_search(frame([(1, "..."), (2, None)]), asked), ranked_search(frame([(1, "bus")]), asked)):
+        assert found.collect() == [] and found.columns == ["item_id", "rank", "doc_id", "score"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), max_size=5), min_size=1, max_size=60), st.integers(1, 5), st.integers(1, 40))
+def test_best_positions_equal_a_full_scan(lists, k, floor):
+    """Lists of equal impacts, ties at the k-th place, terms that no document holds."""
+    rows = [(t, d, 1 + (3 * t + 5 * d) % 4) for d, terms in enumerate(lists) for t in set(terms)]
+    if not rows:
+        return
+    terms, docs, impacts = (np.array(c, np.int64) for c in zip(*rows))
+    held = Lists(terms, docs, impacts, len(lists))
+    tie = np.array([(7 * d) % 101 for d in range(len(lists))])
+    asked, weights = np.array([0, 2, 3, 5, 9]), np.array([5, 1, 0, 3, 2])
+    by_term = dict(zip(asked.tolist(), weights.tolist()))
+    full = Counter()
+    for t, d, impact in rows:
+        full[d] += by_term.get(t, 0) * impact
+    want = sorted((-s, int(tie[d]), d) for d, s in full.items() if s >= max(1, floor))[:k]
+    found, scores = best_positions(held, asked, weights, k, floor, tie)
+    assert [(-s, int(tie[d]), d) for d, s in zip(found.tolist(), scores.tolist())] == want
+
+
+def test_search_stops_before_the_end_of_the_lists(monkeypatch):
+    """Few documents with high impacts: most positions are never read."""
+    n = 20_000
+    docs = np.tile(np.arange(n), 2)
+    impacts = np.concatenate([np.arange(n), np.arange(n)]) + 1
+    held = Lists(np.repeat([0, 1], n), docs, impacts, n)
+    looked = []
+    monkeypatch.setattr(Lists, "find", lambda self, t, d, f=Lists.find: looked.append(len(d)) or f(self, t, d))
+    found, scores = best_positions(held, np.array([0, 1]), np.array([2, 1]), 5, 1, np.arange(n))
+    assert found.tolist() == [n - 1 - i for i in range(5)] and sum(looked) < 50
+
+
+def test_search_blocks_are_bounded(frame, items):
+    rows, blocks = search._blocks(items([_item(i, "word " * 20) for i in range(40)]).select(
+        "item_id", F.col("text").cast("binary").alias("body")), 400)
+    largest = rows.groupBy("block").agg(F.sum(F.octet_length("body")).alias("s")).agg(F.max("s")).first()[0]
+    assert blocks >= 10 and largest <= 800
+
+
+# Fill-in-middle
+
+def _filled(i, text, p=FimParams()):
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"{p.seed}:{'' if i is None else i}".encode()).hexdigest()
+    h = [int(digest[8 * j:8 * j + 8], 16) for j in range(4)]
+    if not text or any(s.decode() in text for s in p.sentinels) or h[2] % 100 >= p.rate:
+        return (i, len(lines), "plain", None, None, text)
+    a, b = sorted((h[0] % (len(lines) + 1), h[1] % (len(lines) + 1)))
+    pre, mid, suf = "".join(lines[:a]), "".join(lines[a:b]), "".join(lines[b:])
+    spm = h[3] % 100 < p.spm
+    out = f"<S>{suf}<P>{pre}<M>{mid}" if spm else f"<P>{pre}<S>{suf}<M>{mid}"
+    return (i, len(lines), "spm" if spm else "psm", len(pre), len(mid), out)
+
+
+def test_infill_equals_a_plain_version_and_restores(frame):
+    rng = random.Random(9)
+    docs = [(i, "".join(rng.choice(["a", "é", "字", "😀", "\n", "\n", "<", "<P", "M>", ">", "\r"]) for _ in range(rng.randrange(40)))) for i in range(200)]
+    docs += [(300, None), (301, ""), (302, "a<M>b"), (303, "\n"), (304, "line\n" * 100_000), (305, "no end"), (None, "x\ny"), (5, "x\ny"), (5, "x\ny")]
+    for params in (FimParams(), FimParams(seed=11, rate=40, spm=0), FimParams(spm=100)):
+        rows = fill_in_middle(frame(docs), params)
+        assert rows.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"]
+        assert sorted(map(tuple, rows.collect()), key=repr) == sorted((_filled(i, t, params) for i, t in docs), key=repr)
+        back = restore(rows, params, keep=("doc_id",)).collect()
+        assert Counter((r.doc_id, r.text) for r in back) == Counter((i, t or "") for i, t in docs)
+    assert fill_in_middle(frame([])).collect() == [] and restore(fill_in_middle(frame([]))).collect() == []
+
+
+def test_restore_takes_null_form_as_plain_and_null_output_as_empty(spark):
+    rows = spark.createDataFrame([(1, None, "plain"), (2, "x<P>", None)], "doc_id int, output string, form string")
+    assert sorted((r.doc_id, r.text) for r in restore(rows, keep=("doc_id",)).collect()) == [(1, ""), (2, "x<P>")]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=40), st.data())
+def test_three_reversals_swap_neighbouring_blocks(text, data):
+    begin, cut, end = sorted(data.draw(st.integers(0, len(text))) for _ in range(3))
+    out = bytearray(text)
+    exchange(out, begin, cut, end)
+    assert out == text[:begin] + text[cut:end] + text[begin:cut] + text[end:]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("<PSM>a\n")), st.data())
+def test_sentinels_are_found_whatever_the_parts_end_in(text, data):
+    params = FimParams()
+    body = text.encode()
+    if any(s in body for s in params.sentinels):
+        return
+    cuts = tuple(sorted(data.draw(st.integers(0, len(body))) for _ in range(2)))
+    for form in ("psm", "spm"):
+        assert unrotated(bytes(rotated(body, cuts, form, params)), form, params) == body
+
+
+@pytest.mark.parametrize("name", ["op12_search", "op13_fill_in_middle"])
+def test_query_equals_sql(spark, sf_dir, name):
+    assert compare(spark, connect(sf_dir), sf_dir, queries.queries()[name], oracles.oracle_sql()[name]) is None
