@@ -41,16 +41,25 @@ def encoder():
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("ab'st Ω1!.\n\t\r\x0b\x0c\x1c\x1f\x85\xa0     　字é€<|>")) | st.text())
-def test_encoding_word_by_word_gives_the_same_ids(plain_ids, encoder, text):
+def test_ids_are_those_of_the_tokenizer_file(plain_ids, encoder, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(text)
 
 
-def test_encoder_starts_anew_when_it_knows_too_much(plain_ids, monkeypatch):
-    monkeypatch.setattr("ridelabel.llm.packing.KNOWN_WORDS", 3)
-    small = Encoder(BPE)
-    for text in ("one two three four", "four five <|endoftext|> one", "x" * 300 + " one"):
-        assert np.frombuffer(small.encode(text), "<u4").tolist() == plain_ids(text)
-        assert "x" * 300 not in small.known
+def test_long_texts_are_encoded_in_slices(plain_ids, encoder, monkeypatch):
+    monkeypatch.setattr("ridelabel.llm.packing.SLICE_CHARS", 3)
+    for text in ("one two\n\n  three four", "four five <|endoftext|> one", "x" * 300 + " one", "a\x1cb !\x1c c", "  \n  "):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(text)
+    assert encoder.ranked is not None
+
+
+def test_other_tokenizer_files_are_encoded_as_they_say():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other = Encoder(path)
+    assert other.ranked is None
+    want = Tokenizer.from_file(path).encode("Some Words, here", add_special_tokens=False).ids
+    assert np.frombuffer(other.encode("Some Words, here"), "<u4").tolist() == want
 
 
 def _placed_plainly(lengths, params):
