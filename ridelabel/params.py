@@ -12,6 +12,7 @@ class MatchParams:
     idle_flush_seconds: int = 30
     detection_gap_seconds: int = 60
     watermark_ms: int = 300
+    partition_idle_seconds: int = 60
     run_tile_chars: int = 8
     stop_tile_chars: int = 7
     bucket_minutes: int = 5
@@ -24,9 +25,14 @@ class MatchParams:
     # "session": votes never cross a session; "vehicle": they may.
     scope: str = "session"
 
+    # A stream forgets what it last handed on of a vehicle that sent nothing for so long.
+    forget_seconds: int = 86_400
+
     # Physical sizing. They change how the work is cut, never the result.
     # A vehicle with more rows than this is cut into time chunks of about as many.
     hot_vehicle_rows: int = 5_000_000
+    # Stretches of a hot vehicle's vote are folded at once and repeated at most so often.
+    vote_rounds: int = 4
     # Each timetable table is broadcast only up to this many bytes.
     broadcast_bytes: int = 64 << 20
     # Above it the table is shuffled, each key spread over this many salts.

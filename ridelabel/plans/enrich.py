@@ -74,14 +74,26 @@ def _label(keypoints: DataFrame, master: MasterData, params: MatchParams) -> Dat
     return vote.backfill(_fold(keypoints, master, params), params)
 
 
-def _match(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
-    labelled = _label(keypoints, master, params)
+def with_details(labelled: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """Labelled keypoints with nearest serving stop and route details."""
     # Route details are wide: they come last, behind the stop lookup.
     stopped = match.with_nearest_serving_stop(labelled, master, params)
     detailed = match.with_line_details(stopped, master, params)
     return match.with_stop_naming(detailed).drop("tile7", "part", "at_start")
 
 
+def _match(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+    return with_details(_label(keypoints, master, params), master, params)
+
+
+def candidate_steps(waypoints: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """Keypoints with the lines due at each (``cands``): what the vote goes through."""
+    def step(keypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
+        return match.with_candidates(match.place_time_keys(keypoints, params), master, params).drop("bucket", CHUNK)
+
+    return _on_keypoints(step, waypoints, master, params)
+
+
 def _on_keypoints(step: Callable, waypoints: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:
     return _joined([step(keypoints, master, params) for keypoints in _keypoints(waypoints, params)])
 
