@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelabel.operators.skew import CHUNK
+from ridelabel.operators.skew import CHUNK, cut_lineage
 from ridelabel.params import MatchParams
 
 #: The part of rows before any cut; below every chunk number.
@@ -85,71 +85,205 @@ def vote_fold(steps: DataFrame, params: MatchParams) -> DataFrame:
     Each decision depends on the ones before it, which no window expresses. The
     numbering window makes Spark place and sort each group; the fold then reads
     the sorted partition batch by batch and holds only the votes of the current
-    group, however long it is.
+    group, however long it is. Parts of hot vehicles that span several chunks are
+    folded chunk by chunk (see ``with_true_starts``).
     """
-    group = vote_group(params)
-    numbered = steps.withColumn(
-        "_step", F.row_number().over(Window.partitionBy(*group).orderBy("time", "seq_no"))
-    ).sortWithinPartitions(*group, "time", "seq_no")
-    line_type = steps.schema["cands"].dataType.elementType["line_id"].dataType
     passed = [c for c in steps.columns if c != "cands"]
+    group = vote_group(params)
+    if CHUNK in steps.columns:
+        steps = with_true_starts(steps, params)
+        group = [*group, PIECE]
     schema = T.StructType([
         *[steps.schema[c] for c in passed],
-        T.StructField("det", line_type),
+        T.StructField("det", _line_type(steps)),
         T.StructField("at_start", T.BooleanType()),
     ])
-    return numbered.mapInArrow(_folder(passed, params), schema)
+    return _in_order(steps, group).mapInArrow(_folder(passed, params), schema)
 
 
-def _folder(passed: list[str], params: MatchParams):
-    first, other = params.first_stop_votes, params.other_stop_votes
-    enough, margin = params.single_min_votes, params.winning_margin
+def _line_type(steps: DataFrame) -> T.DataType:
+    return steps.schema["cands"].dataType.elementType["line_id"].dataType
+
+
+def _in_order(steps: DataFrame, group: list[str]) -> DataFrame:
+    numbered = steps.withColumn(
+        "_step", F.row_number().over(Window.partitionBy(*group).orderBy("time", "seq_no")))
+    return numbered.sortWithinPartitions(*group, "time", "seq_no")
+
+
+#: Columns of a fold that goes on: what is folded in one go, and the votes it starts with.
+PIECE, START = "_piece", "_start"
+
+
+def _state_type(steps: DataFrame) -> T.StructType:
+    line = _line_type(steps)
+    vote = T.StructType([T.StructField("line", line), T.StructField("votes", T.IntegerType())])
+    return T.StructType([T.StructField("votes", T.ArrayType(vote)), T.StructField("decided", line)])
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> list:
+    return [left[k].eqNullSafe(right[f"_of_{k}"]) for k in keys]
+
+
+def with_true_starts(steps: DataFrame, params: MatchParams) -> DataFrame:
+    """Add what is folded in one go (``_piece``) and the votes it starts with (``_start``).
+
+    The steps come with chunks and parts. A part within one chunk is one piece and starts without
+    votes. In a longer part every chunk is a piece. All pieces are folded at once as if they started
+    without votes, which gives the votes each ends with. A piece is repeated, again beside all
+    others, when the one before it ends with other votes than it started with. Votes soon forget
+    how they began (a restart clears them), so few pieces need this and hardly any twice. What
+    ``vote_rounds`` repetitions leave open is folded in one go from the first open piece on, whose
+    start is certain by then.
+    """
+    rows = cut_lineage(steps)
+    keys = [*vote_group(params), CHUNK]
+    state = _state_type(rows)
+    chunks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    in_part = Window.partitionBy(*keys[:-1])
+    # A part that spans chunks is the only one of its vehicle at each chunk's edge, so there are
+    # at most about two of these pieces for every chunk: the bound of the broadcasts below.
+    pieces = cut_lineage(chunks.withColumn("_n", F.count(F.lit(1)).over(in_part)).where("_n > 1").select(
+        *keys, F.lit(None).cast(state).alias(START)))
+    if pieces.isEmpty():
+        return rows.withColumns({PIECE: F.lit(NO_PART), START: F.lit(None).cast(state)})
+
+    order = in_part.orderBy(CHUNK)
+    known = cut_lineage(_ends(rows, pieces, keys, params))
+    for _ in range(params.vote_rounds):
+        wanted = known.withColumn("_wanted", F.lag("_end").over(order))
+        marked = cut_lineage(wanted.withColumn("_differ", _differs()))
+        again = marked.where("_differ").select(*keys, F.col("_wanted").alias(START))
+        if again.isEmpty():
+            break
+        known = cut_lineage(
+            marked.where("not _differ").select(*keys, START, "_end").unionByName(_ends(rows, again, keys, params)))
+    wanted = known.withColumn("_wanted", F.lag("_end").over(order))
+    first_open = F.min(F.when(_differs(), F.col(CHUNK))).over(in_part)
+    rest = F.col(CHUNK) >= F.col("_first")
+    found = wanted.withColumn("_first", first_open).select(
+        *keys, F.when(rest, F.col("_first")).otherwise(F.col(CHUNK)).alias(PIECE),
+        F.when(rest, F.col("_wanted")).otherwise(F.col(START)).alias(START))
+    found = cut_lineage(found.withColumnsRenamed({k: f"_of_{k}" for k in keys}))
+    joined = rows.join(F.broadcast(found), _same_keys(rows, found, keys), "left")
+    return joined.withColumn(PIECE, F.coalesce(PIECE, F.lit(NO_PART))).drop(*[f"_of_{k}" for k in keys])
+
+
+def _differs() -> Column:
+    """Whether a piece was folded from other votes than the piece before it ends with."""
+    wanted, start = F.col("_wanted"), F.col(START)
+    none = start.isNull() & (F.size("_wanted.votes") == 0) & F.col("_wanted.decided").isNull()
+    return wanted.isNotNull() & ~wanted.eqNullSafe(start) & ~none
+
 
-    def decide(scores: dict):
+def _ends(rows: DataFrame, pieces: DataFrame, keys: list[str], params: MatchParams) -> DataFrame:
+    """Fold pieces from their ``_start``; one row per piece with the votes at its end (``_end``)."""
+    named = pieces.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    chosen = rows.join(F.broadcast(named), _same_keys(rows, named, keys)).select(*keys, "time", "seq_no", "cands", START)
+    ordered = _in_order(chosen, keys).select(*keys, "cands", START, "_step")
+    schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("_end", _state_type(rows))])
+    ends = ordered.mapInArrow(_end_folder(keys, params, schema), schema)
+    # The start comes from the table of pieces, not through Python.
+    found = ends.join(F.broadcast(named), _same_keys(ends, named, keys))
+    return found.select(*[ends[k] for k in keys], START, "_end")
+
+
+class Votes:
+    """Votes of one group and the rule that decides; `step` takes one keypoint after the other.
+
+    ``decided`` is the line that the last keypoint with any line due was given.
+    """
+
+    __slots__ = ("params", "votes", "decided")
+
+    def __init__(self, params: MatchParams, votes: dict | None = None, decided=None):
+        self.params, self.votes, self.decided = params, votes or {}, decided
+
+    def step(self, due: dict):
+        """(line, whether it may start here) for the lines due here, or (None, None) if none wins.
+
+        A keypoint without any line changes nothing.
+        """
+        if not due:
+            return None, None
+        params, decided = self.params, self.decided
+        carried = self.votes
+        if decided is not None and (decided not in due or any(due.values())):
+            carried = {}
+        first, other = params.first_stop_votes, params.other_stop_votes
+        self.votes = {line: (first if zero else other) + carried.get(line, 0) for line, zero in due.items()}
+        self.decided = line = self._winner()
+        return (None, None) if line is None else (line, due[line])
+
+    def _winner(self):
         """The winning line, or None; equal scores never win."""
+        scores = self.votes
         if len(scores) == 1:
             ((line, score),) = scores.items()
-            return line if score >= enough else None
-        ranked = sorted(scores.values(), reverse=True)
-        if ranked[0] > ranked[1] + margin:
-            return max(scores, key=scores.get)
-        return None
+            return line if score >= self.params.single_min_votes else None
+        best, second = sorted(scores.values())[:-3:-1]
+        return max(scores, key=scores.get) if best > second + self.params.winning_margin else None
+
+
+def _walk(batch: pa.RecordBatch, state: Votes, params: MatchParams) -> Iterator[tuple[bool, Votes, object, object]]:
+    """For each row: whether it starts a group, the votes behind it, its line and whether that may start here."""
+    lists = batch.column("cands")
+    bounds = lists.offsets.to_pylist()
+    lines = lists.values.field("line_id").to_pylist()
+    zeros = lists.values.field("has_zero").to_pylist()
+    steps = batch.column("_step").to_pylist()
+    starts = batch.column(START) if START in batch.schema.names else None
+    for i, step in enumerate(steps):
+        if step == 1:
+            start = starts[i].as_py() if starts is not None else None
+            held = {v["line"]: v["votes"] for v in start["votes"]} if start else None
+            state = Votes(params, held, start["decided"] if start else None)
+        low, high = bounds[i], bounds[i + 1]
+        line, at_start = state.step(dict(zip(lines[low:high], zeros[low:high])))
+        yield step == 1, state, line, at_start
 
+
+def _folder(passed: list[str], params: MatchParams):
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes, decided = {}, None
+        state = Votes(params)
         for batch in batches:
-            lists = batch.column("cands")
-            bounds = lists.offsets.to_pylist()
-            lines = lists.values.field("line_id").to_pylist()
-            zeros = lists.values.field("has_zero").to_pylist()
-            starts_group = batch.column("_step").to_pylist()
             det, at_start = [], []
-            for i, step in enumerate(starts_group):
-                if step == 1:
-                    votes, decided = {}, None
-                low, high = bounds[i], bounds[i + 1]
-                if low == high:
-                    det.append(None)
-                    at_start.append(None)
-                    continue
-                due = dict(zip(lines[low:high], zeros[low:high]))
-                if decided is not None and (decided not in due or any(due.values())):
-                    votes = {}
-                votes = {
-                    line: (first if zero else other) + votes.get(line, 0) for line, zero in due.items()
-                }
-                decided = decide(votes)
-                det.append(decided)
-                at_start.append(None if decided is None else due[decided])
+            for _, state, line, start in _walk(batch, state, params):
+                det.append(line)
+                at_start.append(start)
+            line_type = batch.column("cands").type.value_type.field("line_id").type
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in passed],
-                 pa.array(det, lists.type.value_type.field("line_id").type), pa.array(at_start, pa.bool_())],
+                [*[batch.column(c) for c in passed], pa.array(det, line_type), pa.array(at_start, pa.bool_())],
                 names=[*passed, "det", "at_start"],
             )
 
     return fold
 
 
+def _end_folder(keys: list[str], params: MatchParams, schema: T.StructType):
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, last = Votes(params), None
+
+        def end(place: tuple[pa.RecordBatch, int], votes: Votes) -> pa.RecordBatch:
+            key = place[0].slice(place[1], 1)
+            held = [{"line": line, "votes": n} for line, n in sorted(votes.votes.items())]
+            line = key.column("cands").type.value_type.field("line_id").type
+            kind = pa.struct([
+                ("votes", pa.list_(pa.struct([("line", line), ("votes", pa.int32())]))), ("decided", line)])
+            value = pa.array([{"votes": held, "decided": votes.decided}], kind)
+            return pa.RecordBatch.from_arrays([*[key.column(k) for k in keys], value], names=schema.names)
+
+        for batch in batches:
+            for i, (first, new, _, _) in enumerate(_walk(batch, state, params)):
+                if first and last is not None:
+                    yield end(last, state)
+                state, last = new, (batch, i)
+        if last is not None:
+            yield end(last, state)
+
+    return fold
+
+
 def backfill(folded: DataFrame, params: MatchParams) -> DataFrame:
     """Add ``line_id``: the line decided here or at the next decision of the scope.
 

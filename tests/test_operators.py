@@ -246,6 +246,40 @@ def test_vote_fold_and_backfill_against_plain_python(spark):
             assert r.at_start == (det is not None and steps[i][det])
 
 
+def one_long_group(rng, steps, restarts):
+    """Candidates of one vehicle; `restarts` says how often the vote may start anew.
+
+    Neighbouring keypoints always share a line and never decide by themselves, so no restart is certain.
+    """
+    out = []
+    for _ in range(steps):
+        lines = ["a", *rng.sample("bcd", rng.choice([1, 1, 2]))]
+        out.append({line: rng.random() < restarts for line in lines})
+    return out
+
+
+@pytest.mark.parametrize("restarts, most_open", [(0.15, 0), (0.0, 40)])
+def test_a_group_without_certain_restarts_is_folded_by_many_tasks(spark, restarts, most_open):
+    """The result is that of one fold, whether the votes forget their beginning or never do."""
+    rng = random.Random(17)
+    dues = one_long_group(rng, 600, restarts)
+    rows = [("v", 1, i, i, T0 + timedelta(seconds=i), [(l, z) for l, z in due.items()], i // 15) for i, due in enumerate(dues)]
+    # Another vehicle, whose chunks hold whole groups.
+    rows += [(None, g, i, i, T0 + timedelta(seconds=i), [("a", False)], g) for g in range(3) for i in range(4)]
+    df = spark.createDataFrame(rows, "vehicle_id STRING, session_id INT, run_id INT, seq_no INT, time TIMESTAMP,"
+                                     " cands ARRAY<STRUCT<line_id: STRING, has_zero: BOOLEAN>>, _chunk INT")
+    parts = vote.with_parts(df, P).persist()
+    assert parts.where("vehicle_id = 'v'").select("part").distinct().count() == 1
+    started = vote.with_true_starts(parts, P)
+    pieces = started.where("vehicle_id = 'v'").select(vote.PIECE).distinct().count()
+    assert pieces >= 40 - most_open if restarts else pieces >= P.vote_rounds
+    assert started.where("vehicle_id IS NULL").select(vote.PIECE).distinct().collect()[0][0] == vote.NO_PART
+    got = [r.det for r in vote.vote_fold(parts, P).where("vehicle_id = 'v'").orderBy("seq_no").collect()]
+    assert got == python_fold(dues) and sum(d is not None for d in got) > 50
+    assert vote.vote_fold(parts, P).count() == len(rows)
+    assert [r.det for r in vote.vote_fold(parts, P.with_(vote_rounds=0)).where("vehicle_id = 'v'").orderBy("seq_no").collect()] == got
+
+
 def test_naming_unknown_lines_and_missing_stops(spark):
     stops = stops_frame(spark, [("B", "far", 50.0 + STOP_LAT / 8, 9.0, "a", None, 0), ("A", "near", 50.0, 9.0, "a", None, 1),
                                 ("C", "twin", 50.0, 9.0, "b", None, 2)])
