@@ -20,6 +20,7 @@ from ridelabel.operators.index import (
     stop_tiles,
 )
 from ridelabel.params import MatchParams
+from ridelabel.sources.json_split import json_values
 
 DEPARTURE = "STRUCT<line_id STRING, seq INT, dep_sec BIGINT>"
 STOP_SCHEMA = (
@@ -137,26 +138,32 @@ def measured(**tables: DataFrame) -> dict[str, tuple[int, int, int]]:
     return {r["name"]: (r["n"], r["total"], r["widest"]) for r in found.toLocalIterator()}
 
 
-def load_stops(spark: SparkSession, path: str) -> DataFrame:
-    """Stops as JSON, one object per line or an array per file; unknown fields are ignored.
+def load_stops(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """Stops as JSON, one object per line, or (``array``) one list of objects per file.
 
-    ``pos`` numbers the stops in file order. JSON lines split over many tasks; an
-    array file is read by one.
+    Unknown fields are ignored. ``pos`` orders the stops of a file. Either form is read by many tasks.
     """
+    if array:
+        return _parsed_objects(json_values(spark, path, "}", 1), STOP_SCHEMA)
     rows = spark.read.schema(STOP_SCHEMA).option("mode", "FAILFAST").json(path)
     return rows.withColumn("pos", F.monotonically_increasing_id())
 
 
-def _json_map(spark: SparkSession, path: str, value_type: T.DataType, whole_files: bool) -> DataFrame:
-    """Key/value rows of JSON objects: one object per line, or one per file."""
-    texts = spark.read.text(path, wholetext=whole_files).where(F.trim("value") != "")
-    parsed = F.from_json("value", T.MapType(T.StringType(), value_type), {"mode": "FAILFAST"})
-    return texts.select(F.explode(parsed).alias("key", "value"))
+def _parsed_objects(values: DataFrame, schema: str) -> DataFrame:
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
+    return values.select(parsed.alias("_o"), "pos").select("_o.*", "pos")
 
 
-def load_lines(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Lines from JSON objects ``{id: route, ...}``."""
-    rows = _json_map(spark, path, T.StructType.fromDDL(LINE_SCHEMA), whole_files)
+def _json_map(spark: SparkSession, path: str, value_type: T.DataType, close: str) -> DataFrame:
+    """Key/value rows of JSON maps whose values end in ``close``; a map may be larger than a task."""
+    entry = F.concat(F.lit("{"), "value", F.lit("}"))
+    parsed = F.from_json(entry, T.MapType(T.StringType(), value_type), {"mode": "FAILFAST"})
+    return json_values(spark, path, close, 1).select(F.explode(parsed).alias("key", "value"))
+
+
+def load_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines from JSON maps ``{id: route, ...}``, one or several in a file."""
+    rows = _json_map(spark, path, T.StructType.fromDDL(LINE_SCHEMA), "}")
     return rows.select(F.col("key").alias("line_id"), "value.*")
 
 
@@ -190,8 +197,9 @@ def parse_line_index(entries: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def load_line_index(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    return parse_line_index(_json_map(spark, path, T.ArrayType(T.StringType()), whole_files))
+def load_line_index(spark: SparkSession, path: str) -> DataFrame:
+    """The line index from JSON maps ``{key: [line#seq, ...], ...}``."""
+    return parse_line_index(_json_map(spark, path, T.ArrayType(T.StringType()), "]"))
 
 
 def parse_stop_index(entries: DataFrame) -> DataFrame:
@@ -201,5 +209,6 @@ def parse_stop_index(entries: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def load_stop_index(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    return parse_stop_index(_json_map(spark, path, T.ArrayType(T.StringType()), whole_files))
+def load_stop_index(spark: SparkSession, path: str) -> DataFrame:
+    """The stop index from JSON maps ``{key: [stop id, ...], ...}``."""
+    return parse_stop_index(_json_map(spark, path, T.ArrayType(T.StringType()), "]"))

@@ -1,6 +1,7 @@
 """Loaders, decoding and encoding on small files."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from ridelabel.operators.collapse import DOORS
 from ridelabel.params import MatchParams
 from ridelabel.plans.enrich import enrich
 from ridelabel.sources import master as ms
+from ridelabel.sources.json_split import json_values
 from ridelabel.sources.osm import read_osm_elements
 from ridelabel.sources.waypoints import CORRUPT, decode_waypoints, encode_waypoints, read_waypoints
 
@@ -75,7 +77,7 @@ def test_master_files(spark, timetable):
     assert lines[0].route[0][0].lat == 2.0
     index = ms.load_line_index(spark, str(timetable / "index"))
     assert sorted((r.bucket, r.line_id, r.seq) for r in index.collect()) == [(108, "L", 0), (108, "L", 4), (109, "L", 0)]
-    refs = ms.load_stop_index(spark, str(timetable / "stop_index"), whole_files=True)
+    refs = ms.load_stop_index(spark, str(timetable / "stop_index"))
     assert sorted((r.bucket, r.IFOPT) for r in refs.collect()) == [(108, "de:1"), (108, "de:9")]
 
 
@@ -102,3 +104,72 @@ def test_osm_files(spark, tmp_path):
         assert (a.type, a.id, a.lat, a.tags["x:y"]) == ("node", 1, 1.5, "z")
         assert b.nodes == [1, 3] and b.tags is None
         assert (c.members[0].type, c.members[0].ref, c.members[0].role) == ("way", 2, "")
+
+
+def _value(rng, deep):
+    """Any JSON value, with brackets, quotes and escapes in its strings."""
+    kind = rng.random()
+    if not deep or kind < 0.4:
+        return rng.choice(["a]b", "}{", 'q"\\', "x\n", "[", 1, None, True, "é字"])
+    if kind < 0.7:
+        return [_value(rng, deep - 1) for _ in range(rng.randrange(4))]
+    return {rng.choice(['k"', "}", "a", "[b"]): _value(rng, deep - 1) for _ in range(rng.randrange(3))}
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of 1 kB, so that a small document is read by many tasks."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "1000")
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_values_are_cut_out_of_documents_in_splits(spark, tmp_path, small_splits, indent):
+    rng = random.Random(4)
+    want = {}
+    for name in "ab":
+        elements = [{"id": i, "tags": _value(rng, 3), "long": "}" * rng.choice([0, 3, 3000])} for i in range(40)]
+        document = {"version": 0.6, "osm3s": {"c": "}]"}, "elements": elements, "remark": "end"}
+        (tmp_path / name).write_text(json.dumps(document, indent=indent, ensure_ascii=name == "a"))
+        want[name] = elements
+    rows = json_values(spark, str(tmp_path), "}", 2)
+    found = sorted((r.doc.rsplit("/", 1)[1], r.pos, r.value) for r in rows.collect())
+    assert {n: [json.loads(v) for d, _, v in found if d == n] for n in "ab"} == want
+    assert spark.read.text(str(tmp_path), lineSep="}").rdd.getNumPartitions() > 20
+
+
+def test_a_map_larger_than_a_split(spark, tmp_path, small_splits):
+    tiles_ = [r.t for r in spark.range(50).select(tiles.tile(F.lit(50.0), F.lit(9.0) + F.col("id") / 100, 7).alias("t")).collect()]
+    index = {f"type=middle,x=]}}#{t}_{b}": [f"L{i}#{i}" for i in range(5)] for t in tiles_ for b in (1, 2)}
+    (tmp_path / "index").write_text(json.dumps(index))
+    assert ms.load_line_index(spark, str(tmp_path / "index")).count() == 500
+    stops = {f"type=middle#{t}_3": ["de:1", "de:2"] for t in tiles_}
+    (tmp_path / "stops").write_text(json.dumps(stops, indent=2))
+    assert ms.load_stop_index(spark, str(tmp_path / "stops")).count() == 100
+    lines = {f"id{i}": {"lineLabel": f"{i}]", "route": [[{"lon": 1.0, "lat": i}]]} for i in range(100)}
+    (tmp_path / "lines").write_text(json.dumps(lines) + "\n" + json.dumps({"more": {"lineLabel": "m"}}))
+    rows = {r.line_id: r for r in ms.load_lines(spark, str(tmp_path / "lines")).collect()}
+    assert len(rows) == 101 and rows["id7"].route[0][0].lat == 7 and rows["more"].lineLabel == "m"
+
+
+def test_a_list_of_stops_keeps_its_order(spark, tmp_path, small_splits):
+    stops = [{"name": f"S{i}", "IFOPT": f"de:{i}", "plannedDepartures": [{"line_id": "L", "seq": i}]} for i in range(200)]
+    (tmp_path / "stops").write_text(json.dumps(stops, indent=1))
+    rows = ms.load_stops(spark, str(tmp_path / "stops"), array=True).orderBy("pos").collect()
+    assert [r.name for r in rows] == [s["name"] for s in stops] and rows[9].plannedDepartures[0].seq == 9
+
+
+def test_empty_and_broken_documents(spark, tmp_path):
+    for name, text in {"map": "{}", "list": '{"elements": []}', "blank": " \n"}.items():
+        (tmp_path / name).write_text(text)
+    assert ms.load_line_index(spark, str(tmp_path / "map")).count() == 0
+    assert read_osm_elements(spark, str(tmp_path / "list")).count() == 0
+    assert ms.load_lines(spark, str(tmp_path / "blank")).count() == 0
+    (tmp_path / "cut").write_text('{"elements": [{"type": "node", "id": 1}, {"type": "node", "id"')
+    with pytest.raises(Exception):
+        read_osm_elements(spark, str(tmp_path / "cut")).collect()
