@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ridelabel.functions import tiles
 from ridelabel.functions.timekeys import bucket, local_second_of_day
-from ridelabel.operators import index, match, osm
+from ridelabel.operators import index, match, osm, vote
 from ridelabel.operators.collapse import DOORS
 from ridelabel.operators.sessions import valid_positions, with_cell
 from ridelabel.params import MatchParams
@@ -183,8 +183,9 @@ def line_candidates(spark, sf):
 
 
 def vote_increments(spark, sf):
-    rows = line_candidates(spark, sf)
-    return rows.select(*RUN, "line_id", match.line_votes(F.col("has_zero"), P).cast("bigint").alias("votes"))
+    found = vote.with_points(match.with_candidates(_keyed(spark, sf), _master(spark, sf), P), P)
+    return found.select(*RUN, F.explode("cands").alias("c")).select(
+        *RUN, "c.line_id", F.col("c.points").cast("bigint").alias("votes"))
 
 
 def vote_fold(spark, sf):

@@ -56,9 +56,9 @@ def with_candidates(keyed: DataFrame, master: MasterData, params: MatchParams) -
     return found.withColumn("cands", F.coalesce("cands", none))
 
 
-def line_votes(has_zero: Column, params: MatchParams) -> Column:
-    """Votes one keypoint gives to a candidate line."""
-    return F.when(has_zero, params.first_stop_votes).otherwise(params.other_stop_votes)
+def line_votes(has_zero: Column, first_stop: Column, other_stop: Column) -> Column:
+    """Votes one keypoint gives to a candidate line; the vote adds up these."""
+    return F.when(has_zero, first_stop).otherwise(other_stop).cast("int")
 
 
 def with_line_details(labelled: DataFrame, master: MasterData, params: MatchParams) -> DataFrame:

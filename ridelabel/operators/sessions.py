@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelabel.functions import tiles
@@ -31,8 +31,15 @@ def with_runs(waypoints: DataFrame, params: MatchParams) -> DataFrame:
     return number(rows, params).drop("_tile")
 
 
-def _flags(time, tile, prev_time, prev_tile, params: MatchParams):
-    gap = F.lit(params.session_gap_seconds * 1_000_000)
+#: Column with a row's own session gap in seconds, the same for a whole vehicle.
+GAP = "_gap"
+
+
+def _gap(rows: DataFrame, params: MatchParams) -> Column:
+    return (F.col(GAP) if GAP in rows.columns else F.lit(params.session_gap_seconds)).cast("bigint") * 1_000_000
+
+
+def _flags(time, tile, prev_time, prev_tile, gap: Column):
     session = prev_time.isNull() | (F.unix_micros(time) - F.unix_micros(prev_time) > gap)
     return session, session | (tile != prev_tile)
 
@@ -41,7 +48,7 @@ def _runs_per_vehicle(rows: DataFrame, params: MatchParams) -> DataFrame:
     order = Window.partitionBy("vehicle_id").orderBy("time", "seq_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     new_session, new_run = _flags(
-        F.col("time"), F.col("_tile"), F.lag("time").over(order), F.lag("_tile").over(order), params
+        F.col("time"), F.col("_tile"), F.lag("time").over(order), F.lag("_tile").over(order), _gap(rows, params)
     )
     flagged = rows.withColumns({"_s": new_session.cast("bigint"), "_r": new_run.cast("bigint")})
     return flagged.withColumns(
@@ -59,7 +66,7 @@ def _runs_in_chunks(rows: DataFrame, params: MatchParams) -> DataFrame:
     order = Window.partitionBy("vehicle_id", "_chunk").orderBy("time", "seq_no")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     new_session, new_run = _flags(
-        F.col("time"), F.col("_tile"), F.lag("time").over(order), F.lag("_tile").over(order), params
+        F.col("time"), F.col("_tile"), F.lag("time").over(order), F.lag("_tile").over(order), _gap(rows, params)
     )
     first = F.row_number().over(order) == 1
     flagged = rows.withColumns({
@@ -69,7 +76,9 @@ def _runs_in_chunks(rows: DataFrame, params: MatchParams) -> DataFrame:
     counted = flagged.withColumns({"_ls": F.sum("_s").over(so_far), "_lr": F.sum("_r").over(so_far)})
 
     edge = F.struct("time", "seq_no", "_tile")
+    own = [F.first(GAP).alias(GAP)] if GAP in rows.columns else []
     summary = flagged.groupBy("vehicle_id", "_chunk").agg(
+        *own,
         F.min(edge).alias("_first"), F.max(edge).alias("_last"),
         F.sum("_s").alias("_ns"), F.sum("_r").alias("_nr"),
     )
@@ -78,7 +87,7 @@ def _runs_in_chunks(rows: DataFrame, params: MatchParams) -> DataFrame:
     until = chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     previous = F.lag("_last").over(chunks)
     opens_session, opens_run = _flags(
-        F.col("_first.time"), F.col("_first._tile"), previous["time"], previous["_tile"], params
+        F.col("_first.time"), F.col("_first._tile"), previous["time"], previous["_tile"], _gap(summary, params)
     )
     bases = summary.withColumns({
         "_fs": opens_session.cast("bigint"), "_fr": opens_run.cast("bigint"),

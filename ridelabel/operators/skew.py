@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridelabel.storage import written
+
 #: Column that numbers a hot key's stretches of time; rows without it are cut nowhere.
 CHUNK = "_chunk"
 #: A hot key is cut into at most this many chunks.
@@ -17,14 +18,15 @@ MOST_CHUNKS = 1000
 def split_hot(df: DataFrame, key: str, time: str, max_rows: int) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary keys, and rows of keys with more than ``max_rows`` rows (or None).
 
-    One narrow pass with map-side counts finds the hot keys. There are at most
+    One narrow pass with map-side counts says whether there are hot keys, a second one writes them. There are at most
     ``rows / max_rows`` of them, which bounds the broadcast. Hot rows are cut into
     chunks (see ``with_chunks``).
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = cut_lineage(counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_hot")))
+    hot = counts.where(F.col("_rows") > max_rows).select(F.col(key).alias("_hot"))
     if hot.isEmpty():
         return df, None
+    hot = written(hot)
     same = df[key].eqNullSafe(hot["_hot"])
     keys = F.broadcast(hot)
     return df.join(keys, same, "left_anti"), with_chunks(df.join(keys, same, "left_semi"), key, time, max_rows)
@@ -43,7 +45,7 @@ def with_chunks(df: DataFrame, key: str, time: str, max_rows: int) -> DataFrame:
         F.percentile_approx(at, steps, 10 * MOST_CHUNKS).alias("_q"), F.count(F.lit(1)).alias("_rows")
     )
     every = F.greatest(F.lit(1), F.floor(F.lit(MOST_CHUNKS * max(1, max_rows)) / F.col("_rows")))
-    bounds = cut_lineage(found.select(
+    bounds = written(found.select(
         "_key", F.array_distinct(F.filter("_q", lambda _, i: (i + 1) % every == 0)).alias("_bounds")
     ))
     joined = df.join(F.broadcast(bounds), df[key].eqNullSafe(bounds["_key"]))
@@ -69,17 +71,3 @@ def lookup(big: DataFrame, small: DataFrame, keys: list[str], broadcast: bool, s
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return salted_big.join(salted_small, [*keys, "_salt"], "left").drop("_salt")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of the session (``spark.checkpoint.dir``)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="ridelabel-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()

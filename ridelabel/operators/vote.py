@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridelabel.operators.skew import CHUNK, cut_lineage
+from ridelabel.operators.match import line_votes
+from ridelabel.operators.skew import CHUNK
 from ridelabel.params import MatchParams
+from ridelabel.storage import written
 
 #: The part of rows before any cut; below every chunk number.
 NO_PART = -1
@@ -55,8 +57,9 @@ def with_parts(steps: DataFrame, params: MatchParams) -> DataFrame:
     })
     apart = ~F.arrays_overlap("_earlier", "_lines")
     line = F.col("_p1.only.line_id")
-    certain = params.first_stop_votes >= params.single_min_votes <= 2 * params.other_stop_votes
-    decided = F.lit(certain) & (F.col("_p1.group") == F.col("_seen.group")) & (
+    first, other, least = (rule(steps, n, params) for n in ("first_stop_votes", "other_stop_votes", "single_min_votes"))
+    certain = (first >= least) & (least <= 2 * other)
+    decided = certain & (F.col("_p1.group") == F.col("_seen.group")) & (
         F.col("_p1.only.has_zero")
         | F.coalesce((F.col("_p2.group") == F.col("_seen.group")) & (F.col("_p2.only.line_id") == line), F.lit(False))
     )
@@ -88,8 +91,9 @@ def vote_fold(steps: DataFrame, params: MatchParams) -> DataFrame:
     group, however long it is. Parts of hot vehicles that span several chunks are
     folded chunk by chunk (see ``with_true_starts``).
     """
-    passed = [c for c in steps.columns if c != "cands"]
+    passed = [c for c in steps.columns if c not in ("cands", RULES)]
     group = vote_group(params)
+    steps = with_points(steps, params)
     if CHUNK in steps.columns:
         steps = with_true_starts(steps, params)
         group = [*group, PIECE]
@@ -111,6 +115,22 @@ def _in_order(steps: DataFrame, group: list[str]) -> DataFrame:
     return numbered.sortWithinPartitions(*group, "time", "seq_no")
 
 
+#: Column with a row's own rules (first_stop_votes, other_stop_votes, single_min_votes,
+#: winning_margin), the same for a whole vote group; without it the parameters hold.
+RULES = "_rules"
+
+
+def rule(steps: DataFrame, name: str, params: MatchParams) -> Column:
+    return F.col(RULES)[name] if RULES in steps.columns else F.lit(getattr(params, name))
+
+
+def with_points(steps: DataFrame, params: MatchParams) -> DataFrame:
+    """The candidates with the votes that one keypoint gives each of them (``points``)."""
+    first, other = (rule(steps, n, params) for n in ("first_stop_votes", "other_stop_votes"))
+    return steps.withColumn("cands", F.transform("cands", lambda c: F.struct(
+        c["line_id"], c["has_zero"], line_votes(c["has_zero"], first, other).alias("points"))))
+
+
 #: Columns of a fold that goes on: what is folded in one go, and the votes it starts with.
 PIECE, START = "_piece", "_start"
 
@@ -136,27 +156,27 @@ def with_true_starts(steps: DataFrame, params: MatchParams) -> DataFrame:
     ``vote_rounds`` repetitions leave open is folded in one go from the first open piece on, whose
     start is certain by then.
     """
-    rows = cut_lineage(steps)
+    rows = written(steps)
     keys = [*vote_group(params), CHUNK]
     state = _state_type(rows)
     chunks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     in_part = Window.partitionBy(*keys[:-1])
     # A part that spans chunks is the only one of its vehicle at each chunk's edge, so there are
     # at most about two of these pieces for every chunk: the bound of the broadcasts below.
-    pieces = cut_lineage(chunks.withColumn("_n", F.count(F.lit(1)).over(in_part)).where("_n > 1").select(
+    pieces = written(chunks.withColumn("_n", F.count(F.lit(1)).over(in_part)).where("_n > 1").select(
         *keys, F.lit(None).cast(state).alias(START)))
     if pieces.isEmpty():
         return rows.withColumns({PIECE: F.lit(NO_PART), START: F.lit(None).cast(state)})
 
     order = in_part.orderBy(CHUNK)
-    known = cut_lineage(_ends(rows, pieces, keys, params))
+    known = written(_ends(rows, pieces, keys, params))
     for _ in range(params.vote_rounds):
         wanted = known.withColumn("_wanted", F.lag("_end").over(order))
-        marked = cut_lineage(wanted.withColumn("_differ", _differs()))
+        marked = written(wanted.withColumn("_differ", _differs()))
         again = marked.where("_differ").select(*keys, F.col("_wanted").alias(START))
         if again.isEmpty():
             break
-        known = cut_lineage(
+        known = written(
             marked.where("not _differ").select(*keys, START, "_end").unionByName(_ends(rows, again, keys, params)))
     wanted = known.withColumn("_wanted", F.lag("_end").over(order))
     first_open = F.min(F.when(_differs(), F.col(CHUNK))).over(in_part)
@@ -164,7 +184,7 @@ def with_true_starts(steps: DataFrame, params: MatchParams) -> DataFrame:
     found = wanted.withColumn("_first", first_open).select(
         *keys, F.when(rest, F.col("_first")).otherwise(F.col(CHUNK)).alias(PIECE),
         F.when(rest, F.col("_wanted")).otherwise(F.col(START)).alias(START))
-    found = cut_lineage(found.withColumnsRenamed({k: f"_of_{k}" for k in keys}))
+    found = written(found.withColumnsRenamed({k: f"_of_{k}" for k in keys}))
     joined = rows.join(F.broadcast(found), _same_keys(rows, found, keys), "left")
     return joined.withColumn(PIECE, F.coalesce(PIECE, F.lit(NO_PART))).drop(*[f"_of_{k}" for k in keys])
 
@@ -179,8 +199,10 @@ def _differs() -> Column:
 def _ends(rows: DataFrame, pieces: DataFrame, keys: list[str], params: MatchParams) -> DataFrame:
     """Fold pieces from their ``_start``; one row per piece with the votes at its end (``_end``)."""
     named = pieces.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    chosen = rows.join(F.broadcast(named), _same_keys(rows, named, keys)).select(*keys, "time", "seq_no", "cands", START)
-    ordered = _in_order(chosen, keys).select(*keys, "cands", START, "_step")
+    own = [RULES] if RULES in rows.columns else []
+    chosen = rows.join(F.broadcast(named), _same_keys(rows, named, keys)).select(
+        *keys, "time", "seq_no", "cands", START, *own)
+    ordered = _in_order(chosen, keys).select(*keys, "cands", START, "_step", *own)
     schema = T.StructType([*[rows.schema[k] for k in keys], T.StructField("_end", _state_type(rows))])
     ends = ordered.mapInArrow(_end_folder(keys, params, schema), schema)
     # The start comes from the table of pieces, not through Python.
@@ -200,20 +222,19 @@ class Votes:
         self.params, self.votes, self.decided = params, votes or {}, decided
 
     def step(self, due: dict):
-        """(line, whether it may start here) for the lines due here, or (None, None) if none wins.
+        """(line, whether it may start here), or (None, None) if none wins.
 
-        A keypoint without any line changes nothing.
+        ``due`` has for each line due here whether it may start here, and its points. A keypoint
+        without any line changes nothing.
         """
         if not due:
             return None, None
-        params, decided = self.params, self.decided
         carried = self.votes
-        if decided is not None and (decided not in due or any(due.values())):
+        if self.decided is not None and (self.decided not in due or any(zero for zero, _ in due.values())):
             carried = {}
-        first, other = params.first_stop_votes, params.other_stop_votes
-        self.votes = {line: (first if zero else other) + carried.get(line, 0) for line, zero in due.items()}
+        self.votes = {line: points + carried.get(line, 0) for line, (_, points) in due.items()}
         self.decided = line = self._winner()
-        return (None, None) if line is None else (line, due[line])
+        return (None, None) if line is None else (line, due[line][0])
 
     def _winner(self):
         """The winning line, or None; equal scores never win."""
@@ -231,15 +252,18 @@ def _walk(batch: pa.RecordBatch, state: Votes, params: MatchParams) -> Iterator[
     bounds = lists.offsets.to_pylist()
     lines = lists.values.field("line_id").to_pylist()
     zeros = lists.values.field("has_zero").to_pylist()
+    points = lists.values.field("points").to_pylist()
+    rules = batch.column(RULES) if RULES in batch.schema.names else None
     steps = batch.column("_step").to_pylist()
     starts = batch.column(START) if START in batch.schema.names else None
     for i, step in enumerate(steps):
         if step == 1:
             start = starts[i].as_py() if starts is not None else None
             held = {v["line"]: v["votes"] for v in start["votes"]} if start else None
-            state = Votes(params, held, start["decided"] if start else None)
+            own = params.with_(**rules[i].as_py()) if rules is not None else params
+            state = Votes(own, held, start["decided"] if start else None)
         low, high = bounds[i], bounds[i + 1]
-        line, at_start = state.step(dict(zip(lines[low:high], zeros[low:high])))
+        line, at_start = state.step(dict(zip(lines[low:high], zip(zeros[low:high], points[low:high]))))
         yield step == 1, state, line, at_start
 
 

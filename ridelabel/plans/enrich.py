@@ -17,9 +17,10 @@ from ridelabel.operators import match, vote
 from ridelabel.operators.collapse import collapse_runs
 from ridelabel.operators.index import SIZE_STEP
 from ridelabel.operators.sessions import valid_positions, with_cell, with_runs
-from ridelabel.operators.skew import CHUNK, cut_lineage, split_hot, with_chunks
+from ridelabel.operators.skew import CHUNK, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
+from ridelabel.storage import written
 
 
 def _by_heat(rows: DataFrame, params: MatchParams) -> list[DataFrame]:
@@ -45,7 +46,7 @@ def _keypoints(waypoints: DataFrame, params: MatchParams) -> list[DataFrame]:
     cold, *hot = _by_heat(valid_positions(waypoints), params)
     found = [collapse_runs(_runs(cold, params))]
     for rows in hot:
-        keypoints = cut_lineage(collapse_runs(_runs(rows, params)))
+        keypoints = written(collapse_runs(_runs(rows, params)))
         found.append(with_chunks(keypoints, "vehicle_id", "time", params.hot_vehicle_rows))
     return found
 

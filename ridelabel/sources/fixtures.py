@@ -1,29 +1,58 @@
 """Waypoints, stops, lines and departures derived from the supplied tables.
 
 The recipe is the one in FIXTURES.md, written with DataFrames. It works on whole
-tables, so the waypoints grow with ``events``.
+tables, so the waypoints grow with ``events``. The first query of a session writes what it derives
+to the shared folder; the others read that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelabel.operators.collapse import DOORS
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
+from ridelabel.storage import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_kept: dict[tuple, DataFrame | MasterData] = {}
+
+
+def _once(derive: Callable) -> Callable:
+    """Write the derived table at the first call of a session for a folder; read it from then on."""
+    @wraps(derive)
+    def kept(spark: SparkSession, sf_dir: str, *more):
+        key = (spark.sparkContext.applicationId, derive.__name__, sf_dir, *more)
+        if key not in _kept:
+            made = derive(spark, sf_dir, *more)
+            _kept[key] = made.stored() if isinstance(made, MasterData) else written(made)
+        return _kept[key]
+
+    return kept
+
+
+def derive_all(spark: SparkSession, sf_dir: str, params: MatchParams = MatchParams()) -> None:
+    """Derive and write whatever the queries of a folder read."""
+    for make in (fixture_waypoints, fixture_osm_elements):
+        make(spark, sf_dir)
+    fixture_master(spark, sf_dir, params)
+
+
 def _bounds(spark: SparkSession, sf_dir: str, name: str, key: str) -> tuple[Column, Column]:
     """Lowest key and number of rows of a table, as scalar subqueries."""
     keys = table(spark, sf_dir, name)
     return keys.agg(F.min(key)).scalar(), keys.agg(F.count(F.lit(1))).scalar()
 
 
+@_once
 def fixture_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
     return parts.withColumn("pf", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
@@ -38,6 +67,7 @@ def fixture_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_once
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
     return suppliers.selectExpr(
@@ -48,6 +78,7 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_once
 def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowest, count = _bounds(spark, sf_dir, "part", "p_partkey")
     calls = (
@@ -67,6 +98,7 @@ def fixture_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls.join(ids, "stop_id").select("line_id", "seq", "stop_id", "IFOPT", "dep_sec")
 
 
+@_once
 def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowest, count = _bounds(spark, sf_dir, "part", "p_partkey")
     first_line, lines = _bounds(spark, sf_dir, "supplier", "s_suppkey")
@@ -98,11 +130,13 @@ def fixture_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_once
 def fixture_master(spark: SparkSession, sf_dir: str, params: MatchParams) -> MasterData:
     return MasterData.from_timetable(
         fixture_stops(spark, sf_dir), fixture_lines(spark, sf_dir), fixture_departures(spark, sf_dir), params)
 
 
+@_once
 def fixture_osm_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OSM-shaped elements: parts as nodes, orders as ways, customers as route relations.
 

@@ -21,6 +21,7 @@ from ridelabel.operators.index import (
 )
 from ridelabel.params import MatchParams
 from ridelabel.sources.json_split import json_values
+from ridelabel.storage import written
 
 DEPARTURE = "STRUCT<line_id STRING, seq INT, dep_sec BIGINT>"
 STOP_SCHEMA = (
@@ -103,6 +104,11 @@ class MasterData:
             small |= {n for n, (_, size, _) in measured(**unsure).items() if size <= limit}
         return cls(**tables, small=frozenset(small))
 
+    def stored(self) -> "MasterData":
+        """The same tables, each computed once and written (see ``written``)."""
+        kept = {f.name: getattr(self, f.name) for f in fields(self)}
+        return MasterData(**{k: written(v) if isinstance(v, DataFrame) else v for k, v in kept.items()})
+
     def persisted(self) -> "MasterData":
         """The same tables kept by Spark, for callers that match more than once."""
         kept = {f.name: getattr(self, f.name) for f in fields(self)}
@@ -122,14 +128,25 @@ def line_details(lines: DataFrame) -> DataFrame:
     )
 
 
-def measured(**tables: DataFrame) -> dict[str, tuple[int, int, int]]:
-    """Rows, bytes and widest row of each table, in one job.
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """What a value takes in memory: eight bytes for a field or offset, and the bytes of texts."""
+    own = F.lit(8).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return own + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return reduce(Column.__add__, [_bytes_of(value[f.name], f.dataType) for f in kind], own)
+    if isinstance(kind, T.MapType):
+        return _bytes_of(F.map_keys(value), T.ArrayType(kind.keyType)) + _bytes_of(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.ArrayType):
+        items = F.aggregate(value, F.lit(0).cast("bigint"), lambda total, item: total + _bytes_of(item, kind.elementType))
+        return own + F.coalesce(items, F.lit(0))
+    return own
 
-    A row counts as its JSON text and eight bytes per field, which is about what
-    it takes as a row in memory.
-    """
+
+def measured(**tables: DataFrame) -> dict[str, tuple[int, int, int]]:
+    """Rows, bytes and widest row of each table, in one job."""
     def measure(name: str, table: DataFrame) -> DataFrame:
-        size = F.octet_length(F.to_json(F.struct("*"))) + F.lit(8 * len(table.columns))
+        size = reduce(Column.__add__, [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in table.schema])
         return table.select(size.cast("bigint").alias("size")).agg(
             F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.coalesce(F.max("size"), F.lit(0)).alias("widest"))

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ridelabel.operators import index, match, vote
 from ridelabel.operators.collapse import DOORS
 from ridelabel.operators.sessions import with_cell, with_runs
-from ridelabel.operators.skew import cut_lineage, lookup, split_hot, with_chunks
+from ridelabel.operators.skew import lookup, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.plans import enrich as plans
 from ridelabel.sources import fixtures as fx
 from ridelabel.sources.master import MasterData
 from ridelabel.sources.waypoints import WAYPOINT_SCHEMA
+from ridelabel.storage import written
 
 P = MatchParams()
 T0 = datetime(2024, 1, 15, 8, 0, tzinfo=timezone.utc)
@@ -124,7 +125,7 @@ def test_one_vehicle_id_for_all_is_cut_into_parts(master, waypoints):
     """All waypoints under one id: restarts cut it, the result stays."""
     params = P.with_(scope="vehicle")
     w = waypoints.withColumn("vehicle_id", F.lit(1))
-    keypoints = cut_lineage(plans.collapse_waypoints(w, params))
+    keypoints = written(plans.collapse_waypoints(w, params))
     keyed = match.place_time_keys(keypoints, params)
     steps = match.with_candidates(keyed, master, params)
     parts = vote.with_parts(with_chunks(steps, "vehicle_id", "time", 10), params)
