@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ridelabel.catalog.queries import SWEEP
+from ridelabel.params import MatchParams
+
 ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 _BASE = [
@@ -66,7 +69,7 @@ def _center(gh: str) -> tuple[str, str]:
     return (axis(1, f"((5*length({gh}))//2)", -90, 180), axis(0, f"((5*length({gh})+1)//2)", -180, 360))
 
 
-def _steps(vehicle: str, group: str, buckets: tuple[int, ...], scope: str) -> list[tuple[str, str]]:
+def _steps(vehicle: str, group: str, buckets: tuple[int, ...], scope: str, p: MatchParams) -> list[tuple[str, str]]:
     v = "grp, v"
     lat, lon = _center("geo_hash")
     vote = v if scope == "vehicle" else f"{v}, sid"
@@ -78,7 +81,7 @@ def _steps(vehicle: str, group: str, buckets: tuple[int, ...], scope: str) -> li
         ("geo", f"select *, {vehicle} as v, {group} as grp from geo0"),
         ("sess", f"""
 select *, sum(new_s::int) over (partition by {v} order by t_us, seq_no)::bigint as sid from (
-  select *, coalesce(t_us - lag(t_us) over (partition by {v} order by t_us, seq_no) > 300000000, true) as new_s from geo)"""),
+  select *, coalesce(t_us - lag(t_us) over (partition by {v} order by t_us, seq_no) > {p.session_gap_seconds * 1_000_000}, true) as new_s from geo)"""),
         ("runs", f"""
 select *, sum(new_r::int) over (partition by {v} order by t_us, seq_no)::bigint as rid from (
   select *, new_s or left(gh,8) <> lag(left(gh,8)) over (partition by {v} order by t_us, seq_no) as new_r from sess)"""),
@@ -109,15 +112,15 @@ select k.grp, k.v, k.sid, k.rid, i.bm, i.line_id, bool_or(i.seq = 0) as has_zero
 from kp k join idx i on i.tile = k.tile and i.bucket = k.sec // (60*i.bm) group by all"""),
         ("steps", f"""
 select grp, v, {sid}, rid, bm, row_number() over (partition by {vote}, bm order by rid) n, cs, first0 from (
-  select grp, v, sid, rid, bm, list({{'l': line_id, 'p': case when has_zero then 2 else 1 end}}) cs, bool_or(has_zero) first0
+  select grp, v, sid, rid, bm, list({{'l': line_id, 'p': case when has_zero then {p.first_stop_votes} else {p.other_stop_votes} end}}) cs, bool_or(has_zero) first0
   from cand group by all)"""),
         ("fold", f"""
 select grp, v, sid, bm, 0::bigint n, null::bigint rid, null::bigint det, []::struct(l bigint, p bigint)[] votes
   from (select distinct grp, v, sid, bm from steps)
  union all
   select grp, v, sid, bm, n, rid,
-    case when len(sc) = 1 then (case when sc[1].p > 1 then sc[1].l end)
-         when sc[1].p > sc[2].p + 2 then sc[1].l end, sc
+    case when len(sc) = 1 then (case when sc[1].p >= {p.single_min_votes} then sc[1].l end)
+         when sc[1].p > sc[2].p + {p.winning_margin} then sc[1].l end, sc
   from (select s.grp, s.v, s.sid, s.bm, s.n, s.rid,
      list_transform(list_sort(list_transform(list_transform(s.cs, lambda x: {{'l': x.l::bigint, 'p': (x.p +
        case when f.det is not null and (s.first0 or not list_contains(list_transform(s.cs, lambda y: y.l), f.det)) then 0
@@ -145,9 +148,9 @@ from lab l left join lines e on e.line_id = l.line_id
 
 
 def _with(last: str, select: str, vehicle: str = "vehicle_id", group: str = "''",
-          buckets: tuple[int, ...] = (5,), scope: str = "session") -> str:
+          buckets: tuple[int, ...] = (5,), scope: str = "session", p: MatchParams = MatchParams()) -> str:
     chain = []
-    for name, body in [*_BASE, *_steps(vehicle, group, buckets, scope)]:
+    for name, body in [*_BASE, *_steps(vehicle, group, buckets, scope, p)]:
         chain.append(f"{name} as ({body})")
         if name == last:
             return "with recursive " + ",\n".join(chain) + "\n" + select
@@ -188,6 +191,11 @@ mem as (
 _PT = "round(n.lon*1000000)::bigint || ' ' || round(n.lat*1000000)::bigint"
 
 
+def _share(choice: int) -> str:
+    return f"""select {choice}::bigint as choice, count(*) as keypoints, count(line_id) as labelled,
+  coalesce(sum(detected::int), 0)::bigint as detected from lab"""
+
+
 def oracle_sql() -> dict[str, str]:
     centers = {n: _center(f"left(gh,{n})") for n in (12, 9, 8, 7)}
     return {
@@ -235,6 +243,26 @@ from kp k left join stopgeo s on s.tile = k.tile"""),
         "any_entity_match": _with("final", _ENRICHED, vehicle="'phone-' || vehicle_id || '-' || door"),
         "bucket_sweep": _with("lab", """select bm as bucket_minutes, count(*) as keypoints, count(line_id) as labelled,
   sum(detected::int)::bigint as detected from lab group by bm""", buckets=(5, 10, 15)),
+        "region_stored": _with("final", _ENRICHED.replace("select", "select grp as match_partition,", 1),
+                               group="left(gh, 4)"),
+        "parameter_sweep": " union all ".join(
+            f"select * from ({_with('lab', _share(i), buckets=(p.bucket_minutes,), p=p)})" for i, p in enumerate(SWEEP)),
+        "lines_file": _with("lines", """select line_id::varchar as line_id, line_label, route_to, null::varchar as color
+from lines"""),
+        "stops_file": _with("departures", """select s.ifopt, s.stop_name, s.lat, s.lon, case right(s.ifopt, 1) when 'a' then 'a' else 'b' end as direction,
+  count(d.line_id) as departures, sum(d.dep_sec)::bigint as seconds, max(d.line_id::varchar) as last_line
+from stops s left join departures d on d.stop_id = s.stop_id group by all"""),
+        "line_index_file": _with("idx", "select tile, bucket::bigint as bucket, line_id::varchar as line_id, seq from idx"),
+        "stop_index_file": _with("buckets", """select distinct tile, ((dep_sec // 300 + late) % 288)::bigint as bucket, s.ifopt,
+  s.stop_name from departures d join stopgeo s using (stop_id), (select unnest([0,1]) as late)"""),
+        "osm_file": _OSM_BASE + """
+select 'node' as type, id, lat, lon, case when not bare then name end as name, null::varchar as ref, 0::bigint as nodes,
+  0::bigint as member_sum from nodes
+union all select 'way', way, null, null, null, null, count(*), 0 from wn group by way
+union all select 'relation', r.id, null, null, r.name, r.ref, 0, coalesce(sum(m.ref), 0)::bigint from rels r left join mem m on m.rel = r.id
+  group by all""",
+        "stored_waypoints": _with("waypoints", """select seq_no, vehicle_id::varchar as vehicle_id, t_us, lat, lon, event_type,
+  stop_name, door, boarding, exiting from waypoints"""),
         "waypoint_json": _with("waypoints", """select seq_no, vehicle_id::varchar as vehicle_id, t_us, lat, lon, event_type,
   stop_name, door, boarding, exiting from waypoints"""),
         "osm_routes": _OSM_BASE + f""",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,9 @@ from ridelabel.params import MatchParams
 from ridelabel.plans import enrich as plans
 from ridelabel.sources import fixtures as fx
 from ridelabel.sources import master as ms
-from ridelabel.sources.waypoints import decode_waypoints, encode_waypoints
+from ridelabel.sources.osm import read_osm_elements
+from ridelabel.sources.waypoints import TIME_FORMAT, decode_waypoints, encode_waypoints, read_waypoints
+from ridelabel.storage import shared_folder
 
 P = MatchParams()
 RUN = ["vehicle_id", "session_id", "run_id"]
@@ -259,6 +263,124 @@ def bucket_sweep(spark, sf):
     ).select(F.col("bucket_minutes").cast("bigint").alias("bucket_minutes"), "keypoints", "labelled", "detected")
 
 
+def region_stored(spark, sf):
+    """Waypoints stored by region, matched in two runs that each read their own regions only."""
+    rows, master, folder = fx.fixture_waypoints(spark, sf), _master(spark, sf), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    plans.store_partitioned(rows, f"{folder}/in", tiles.tile(F.col(LAT), F.col(LON), 4))
+    half = "m"
+    for which in (F.col(plans.PARTITION) < half, F.col(plans.PARTITION) >= half):
+        done = plans.enrich_partitions(spark, f"{folder}/in", rows.schema, f"{folder}/out", master, P, which)
+    return _enriched_columns(plans.read_partitions(spark, f"{folder}/out", done.schema), "match_partition")
+
+
+SWEEP = (
+    P, P.with_(bucket_minutes=10, winning_margin=1), P.with_(session_gap_seconds=120, first_stop_votes=3),
+    P.with_(session_gap_seconds=900, other_stop_votes=2, single_min_votes=3), P.with_(winning_margin=0, single_min_votes=1),
+)
+
+
+def parameter_sweep(spark, sf):
+    swept = plans.parameter_sweep(
+        fx.fixture_waypoints(spark, sf), fx.fixture_stops(spark, sf), fx.fixture_lines(spark, sf),
+        fx.fixture_departures(spark, sf), list(SWEEP))
+    return swept.select("choice", "keypoints", "labelled", "detected")
+
+
+def _documents(entries: DataFrame, begin: str, end: str) -> str:
+    """Write texts (column ``value``) as JSON documents, one for each task's rows; the folder."""
+    def wrap(batches):
+        yield pa.RecordBatch.from_pydict({"value": [begin]})
+        first = True
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"value": [t if first and not i else "," + t for i, t in enumerate(texts)]})
+            first &= not texts
+        yield pa.RecordBatch.from_pydict({"value": [end]})
+
+    path = f"{shared_folder(entries.sparkSession)}/{uuid.uuid4().hex}"
+    entries.select("value").mapInArrow(wrap, "value string").write.text(path)
+    return path
+
+
+def _entry(key, value):
+    return F.concat(F.to_json(F.struct(key.alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(key.alias("k")))) - 6),
+                    F.lit(":"), F.to_json(value)).alias("value")
+
+
+def lines_file(spark, sf):
+    """Lines written as JSON maps and loaded again."""
+    lines = fx.fixture_lines(spark, sf)
+    entries = lines.select(_entry(F.col("line_id").cast("string"), F.struct("lineLabel", "to")))
+    back = ms.load_lines(spark, _documents(entries, "{", "}"))
+    return back.select("line_id", F.col("lineLabel").alias("line_label"), F.col("to").alias("route_to"), F.col("color").alias("color"))
+
+
+def stops_file(spark, sf):
+    """Stops with their departures written as JSON lists and loaded again."""
+    calls = fx.fixture_departures(spark, sf).groupBy("IFOPT").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("line_id").cast("string").alias("line_id"), F.col("seq").cast("int").alias("seq"), "dep_sec"))).alias("plannedDepartures"))
+    stops = fx.fixture_stops(spark, sf).join(calls, "IFOPT", "left")
+    texts = stops.select(F.to_json(F.struct(
+        "name", "longitude", "latitude", "IFOPT", "direction", "plannedDepartures", "stop_id")).alias("value"))
+    back = ms.load_stops(spark, _documents(texts, "[", "]"), array=True)
+    called = index.nested_departures(back).groupBy("IFOPT").agg(
+        F.count(F.lit(1)).alias("departures"), F.sum("dep_sec").alias("seconds"), F.max("line_id").alias("last_line"))
+    return back.join(called, "IFOPT", "left").select(
+        F.col("IFOPT").alias("ifopt"), F.col("name").alias("stop_name"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
+        "direction", F.coalesce("departures", F.lit(0)).cast("bigint").alias("departures"), "seconds", "last_line")
+
+
+def _index_documents(rows: DataFrame, ref) -> str:
+    entries = rows.select(ms.key_text_of(F.lit("middle"), F.col("tile7"), F.col("bucket"), P).alias("key"), ref.alias("ref"))
+    lists = entries.groupBy("key").agg(F.collect_list("ref").alias("refs"))
+    return _documents(lists.select(_entry(F.col("key"), F.col("refs"))), "{", "}")
+
+
+def line_index_file(spark, sf):
+    """The line index written as JSON maps and loaded again."""
+    rows = index.line_index(fx.fixture_departures(spark, sf), fx.fixture_stops(spark, sf), P)
+    back = ms.load_line_index(spark, _index_documents(rows, F.concat_ws("#", "line_id", "seq")))
+    return back.select(
+        tiles.tile_text(F.col("tile7"), 7).alias("tile"), F.col("bucket").cast("bigint").alias("bucket"),
+        "line_id", F.col("seq").cast("bigint").alias("seq"))
+
+
+def stop_index_file(spark, sf):
+    """The stop index written as JSON maps, loaded again and resolved."""
+    stops = fx.fixture_stops(spark, sf)
+    rows = index.stop_index(fx.fixture_departures(spark, sf), stops, P)
+    back = index.resolve_stops(ms.load_stop_index(spark, _index_documents(rows, F.col("IFOPT"))), stops)
+    return back.select(
+        tiles.tile_text(F.col("tile7"), 7).alias("tile"), F.col("bucket").cast("bigint").alias("bucket"),
+        F.col("IFOPT").alias("ifopt"), F.col("stop.name").alias("stop_name"))
+
+
+def osm_file(spark, sf):
+    """OSM elements written as response documents and read again."""
+    elements = fx.fixture_osm_elements(spark, sf)
+    texts = elements.select(F.to_json(F.struct("type", "id", "lat", "lon", "tags", "nodes", "members")).alias("value"))
+    head = '{"version": 0.6, "generator": "derived", "osm3s": {"copyright": "none"}, "elements": ['
+    back = read_osm_elements(spark, _documents(texts, head, "]}"))
+    return back.select(
+        "type", "id", "lat", "lon", F.col("tags")["name"].alias("name"), F.col("tags")["ref"].alias("ref"),
+        F.size(F.coalesce("nodes", F.array().cast("array<bigint>"))).cast("bigint").alias("nodes"),
+        F.aggregate(F.coalesce("members", F.array().cast(back.schema["members"].dataType)), F.lit(0).cast("bigint"),
+                    lambda total, m: total + m["ref"]).alias("member_sum"))
+
+
+def stored_waypoints(spark, sf):
+    """Waypoints stored as JSON rows and read for a replay."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    rows = fx.fixture_waypoints(spark, sf)
+    rows.write.json(path, timestampFormat=TIME_FORMAT)
+    back = read_waypoints(spark, path, "json")
+    return back.select(
+        "seq_no", "vehicle_id", _us("time").alias("t_us"), F.col(LAT).alias("lat"), F.col(LON).alias("lon"),
+        F.col("event_Type").alias("event_type"), "stop_name", F.element_at(F.map_keys(DOORS), 1).alias("door"),
+        F.element_at(F.map_values(DOORS), 1)["boarding"].alias("boarding"),
+        F.element_at(F.map_values(DOORS), 1)["exiting"].alias("exiting"))
+
+
 def waypoint_json(spark, sf):
     """Waypoints written as JSON records and decoded again."""
     texts = encode_waypoints(fx.fixture_waypoints(spark, sf))
@@ -334,6 +456,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         near_stops_join, line_candidates, vote_increments, vote_fold, vote_fold_by_vehicle,
         backfill_lines, line_lookup, nearest_serving_stop, route_start_mark, enrich_full,
         region_partitioned, any_entity_match, bucket_sweep, waypoint_json, osm_routes, osm_stops,
-        stop_direction, osm_select, osm_recurse_down,
+        stop_direction, osm_select, osm_recurse_down, region_stored, parameter_sweep, lines_file, stops_file,
+        line_index_file, stop_index_file, osm_file, stored_waypoints,
     ]
     return {"valid_positions": valid_positions_q, **{f.__name__: f for f in functions}}

@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelabel.functions.timekeys import bucket
 from ridelabel.operators import match, vote
 from ridelabel.operators.collapse import collapse_runs
 from ridelabel.operators.index import SIZE_STEP
-from ridelabel.operators.sessions import valid_positions, with_cell, with_runs
+from ridelabel.operators.sessions import GAP, valid_positions, with_cell, with_runs
 from ridelabel.operators.skew import CHUNK, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
@@ -125,6 +126,10 @@ def enrich(waypoints: DataFrame, master: MasterData, params: MatchParams = Match
     return _on_keypoints(_match, rows, master, params)
 
 
+#: Column that names a region or time interval matched by itself.
+PARTITION = "match_partition"
+
+
 def enrich_partitioned(waypoints: DataFrame, master: MasterData, partition: Column,
                        params: MatchParams = MatchParams()) -> DataFrame:
     """Match every partition of the waypoints (a region, a time interval) by itself.
@@ -132,39 +137,97 @@ def enrich_partitioned(waypoints: DataFrame, master: MasterData, partition: Colu
     One job for all partitions: the partition value becomes part of the vehicle
     key. Adds ``match_partition``.
     """
-    keyed = waypoints.withColumn("vehicle_id", F.struct(partition.alias("part"), F.col("vehicle_id").alias("id")))
-    result = enrich(keyed, master, params)
-    return result.withColumns({
-        "match_partition": F.col("vehicle_id.part"), "vehicle_id": F.col("vehicle_id.id"),
-    })
+    return enrich_stored(waypoints.withColumn(PARTITION, partition), master, params)
 
 
-def bucket_sweep(waypoints: DataFrame, stops: DataFrame, lines: DataFrame, departures: DataFrame,
-                 bucket_minutes: list[int], params: MatchParams = MatchParams()) -> DataFrame:
-    """Labelled share of the keypoints for several bucket sizes, one row per size.
+def enrich_stored(rows: DataFrame, master: MasterData, params: MatchParams = MatchParams()) -> DataFrame:
+    """The same for rows that come with their ``match_partition``."""
+    keyed = rows.withColumn("vehicle_id", F.struct(F.col(PARTITION).alias("part"), F.col("vehicle_id").alias("id")))
+    result = enrich(keyed.drop(PARTITION), master, params)
+    return result.withColumns({PARTITION: F.col("vehicle_id.part"), "vehicle_id": F.col("vehicle_id.id")})
+
+
+def store_partitioned(waypoints: DataFrame, path: str, partition: Column) -> None:
+    """Store waypoints in one folder per partition (a region, a day), for runs that read their part only.
 
-    One job for all sizes: the size is part of the vehicle key and of the bucket's number.
+    Rows without a position are left out; they match nothing. A partition is written by as many
+    tasks as its share of the rows needs. Storing again replaces the partitions that come, and
+    leaves the others.
     """
-    sizes = [params.with_(bucket_minutes=m).bucket_minutes for m in bucket_minutes]
-    master = MasterData.from_timetable(stops, lines, departures, params, sizes)
+    rows = valid_positions(waypoints).withColumn(PARTITION, partition.cast("string"))
+    rows.repartitionByRange(PARTITION, "vehicle_id", "time").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
 
-    def sized(keypoints: DataFrame) -> DataFrame:
-        size = F.explode(F.array(*map(F.lit, sizes)))
-        keyed = match.place_time_keys(keypoints, params).withColumn("bucket_minutes", size)
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType, which: Column | None = None) -> DataFrame:
+    """Stored partitions; ``which``, a condition on ``match_partition``, decides which folders are read."""
+    typed = T.StructType([f for f in schema if f.name != PARTITION] + [T.StructField(PARTITION, T.StringType())])
+    rows = spark.read.schema(typed).parquet(path)
+    return rows if which is None else rows.where(which)
+
+
+def enrich_partitions(spark: SparkSession, path: str, schema: T.StructType, out: str, master: MasterData,
+                      params: MatchParams = MatchParams(), which: Column | None = None) -> DataFrame:
+    """Match some stored partitions and store the results in folders of the same names.
+
+    Only the chosen folders are read, and only theirs are replaced, so runs for different regions
+    or days can follow or accompany each other. Returns the stored results of this run.
+    """
+    done = enrich_stored(read_partitions(spark, path, schema, which), master, params)
+    done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(out)
+    return read_partitions(spark, out, done.schema, which)
+
+
+#: Parameters that a sweep may vary.
+SWEPT = ("bucket_minutes", "session_gap_seconds", "first_stop_votes", "other_stop_votes", "single_min_votes", "winning_margin")
+
+
+def parameter_sweep(waypoints: DataFrame, stops: DataFrame, lines: DataFrame, departures: DataFrame,
+                    choices: list[MatchParams]) -> DataFrame:
+    """Labelled share of the keypoints for several sets of parameters, one row per set.
+
+    Gives ``choice`` (the place in the list), the swept parameters, ``keypoints``, ``labelled`` and
+    ``detected``. One job for all: waypoints are collapsed once per session gap, keypoints then
+    joined with the table of choices; gap and choice are part of the vehicle key, and the fold reads
+    votes and margin from the row.
+    """
+    spark, params = waypoints.sparkSession, choices[0]
+    if len({c.with_(**{n: getattr(params, n) for n in SWEPT}) for c in choices}) > 1:
+        raise ValueError(f"a sweep varies {', '.join(SWEPT)} only")
+    schema = "choice BIGINT, " + ", ".join(f"{n} INT" for n in SWEPT)
+    table = spark.createDataFrame([(i, *(getattr(c, n) for n in SWEPT)) for i, c in enumerate(choices)], schema)
+    master = MasterData.from_timetable(stops, lines, departures, params, sorted({c.bucket_minutes for c in choices}))
+
+    gaps = F.array(*map(F.lit, sorted({c.session_gap_seconds for c in choices})))
+    by_gap = waypoints.withColumn(GAP, F.explode(gaps)).withColumn("vehicle_id", F.struct(GAP, "vehicle_id"))
+
+    def chosen(keypoints: DataFrame) -> DataFrame:
+        # As many rows as there are choices, from the call itself.
+        keyed = match.place_time_keys(keypoints, params).join(
+            F.broadcast(table), F.col(GAP) == F.col("session_gap_seconds"))
         return keyed.withColumns({
             "bucket": F.col("bucket_minutes") * SIZE_STEP + bucket(F.col("time"), params.zone, F.col("bucket_minutes")),
-            "vehicle_id": F.struct("bucket_minutes", "vehicle_id"),
+            "vehicle_id": F.struct("choice", "vehicle_id"),
+            vote.RULES: F.struct("first_stop_votes", "other_stop_votes", "single_min_votes", "winning_margin"),
         })
 
     labelled = _joined([
-        vote.backfill(_vote(sized(keypoints), master, params), params) for keypoints in _keypoints(waypoints, params)
+        vote.backfill(_vote(chosen(keypoints), master, params), params).select("choice", "line_id", "detected")
+        for keypoints in _keypoints(by_gap, params)
     ])
-    found = labelled.groupBy("bucket_minutes").agg(
+    found = labelled.groupBy("choice").agg(
         F.count(F.lit(1)).alias("_keypoints"), F.count("line_id").alias("_labelled"),
         F.sum(F.col("detected").cast("bigint")).alias("_detected"),
     )
-    asked = waypoints.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, sizes))).alias("bucket_minutes"))
-    # One row per size; a size without keypoints has zeros.
-    return asked.join(F.broadcast(found), "bucket_minutes", "left").select("bucket_minutes", *[
-        F.coalesce(f"_{c}", F.lit(0)).alias(c) for c in ("keypoints", "labelled", "detected")
+    # One row per choice; one without keypoints has zeros.
+    return table.join(F.broadcast(found), "choice", "left").select("choice", *SWEPT, *[
+        F.coalesce(f"_{c}", F.lit(0)).cast("bigint").alias(c) for c in ("keypoints", "labelled", "detected")
     ])
+
+
+def bucket_sweep(waypoints: DataFrame, stops: DataFrame, lines: DataFrame, departures: DataFrame,
+                 bucket_minutes: list[int], params: MatchParams = MatchParams()) -> DataFrame:
+    """``parameter_sweep`` over bucket sizes alone."""
+    choices = [params.with_(bucket_minutes=m) for m in bucket_minutes]
+    swept = parameter_sweep(waypoints, stops, lines, departures, choices)
+    return swept.select("bucket_minutes", "keypoints", "labelled", "detected")

@@ -271,7 +271,7 @@ def test_a_group_without_certain_restarts_is_folded_by_many_tasks(spark, restart
                                      " cands ARRAY<STRUCT<line_id: STRING, has_zero: BOOLEAN>>, _chunk INT")
     parts = vote.with_parts(df, P).persist()
     assert parts.where("vehicle_id = 'v'").select("part").distinct().count() == 1
-    started = vote.with_true_starts(parts, P)
+    started = vote.with_true_starts(vote.with_points(parts, P), P)
     pieces = started.where("vehicle_id = 'v'").select(vote.PIECE).distinct().count()
     assert pieces >= 40 - most_open if restarts else pieces >= P.vote_rounds
     assert started.where("vehicle_id IS NULL").select(vote.PIECE).distinct().collect()[0][0] == vote.NO_PART
@@ -308,3 +308,46 @@ def test_parameters_are_checked():
         MatchParams(scope="bus")
     with pytest.raises(ValueError):
         MatchParams(bucket_minutes=7)
+
+
+def test_stored_partitions_are_read_and_replaced_alone(spark, master, waypoints, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    day = F.date_format("time", "yyyy-MM-dd-HH")
+    plans.store_partitioned(waypoints, path, day)
+    hours = sorted(r[0] for r in waypoints.where("geo_latitude IS NOT NULL").select(day).distinct().collect())
+    assert len(hours) > 2
+    one = F.col("match_partition") == hours[0]
+    rows = plans.read_partitions(spark, path, waypoints.schema, one)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "match_partition" in plan.split("PartitionFilters:")[1].split("]")[0] and len(rows.inputFiles()) > 0
+    first = plans.enrich_partitions(spark, path, waypoints.schema, out, master, P, one)
+    want = plans.enrich_partitioned(waypoints, master, day, P).select(*RESULT, "match_partition")
+    same = want.where(F.col("match_partition") == hours[0])
+    assert first.count() == same.count() > 0 and first.select(same.columns).exceptAll(same).isEmpty()
+    # A second run adds the others; a repeated one leaves a single copy.
+    for which in (~one, one):
+        plans.enrich_partitions(spark, path, waypoints.schema, out, master, P, which)
+    every = plans.read_partitions(spark, out, first.schema)
+    assert every.count() == want.count() and every.select(want.columns).exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [5_000_000, 60])
+def test_sweep_equals_separate_runs(spark, sf_dir, waypoints, limit):
+    """Also with hot vehicles, whose sessions and votes are cut."""
+    base = P.with_(hot_vehicle_rows=limit)
+    choices = [base, base.with_(session_gap_seconds=60, winning_margin=0), base.with_(bucket_minutes=10, first_stop_votes=4),
+               base.with_(other_stop_votes=3, single_min_votes=4)]
+    tables = [make(spark, sf_dir) for make in (fx.fixture_stops, fx.fixture_lines, fx.fixture_departures)]
+    got = plans.parameter_sweep(waypoints, *tables, choices).orderBy("choice").collect()
+    assert [r.session_gap_seconds for r in got] == [300, 60, 300, 300]
+    for choice, r in zip(choices, got):
+        alone = plans.label_lines(waypoints, MasterData.from_timetable(*tables, choice), choice).agg(
+            F.count("*"), F.count("line_id"), F.sum(F.col("detected").cast("int"))).first()
+        assert (r.keypoints, r.labelled, r.detected) == tuple(alone)
+    assert len({(r.keypoints, r.labelled, r.detected) for r in got}) == 4
+
+
+def test_a_sweep_refuses_other_parameters(spark, sf_dir, waypoints):
+    tables = [make(spark, sf_dir) for make in (fx.fixture_stops, fx.fixture_lines, fx.fixture_departures)]
+    with pytest.raises(ValueError):
+        plans.parameter_sweep(waypoints, *tables, [P, P.with_(zone="UTC")])
