@@ -127,9 +127,9 @@ select grp, v, sid, bm, 0::bigint n, null::bigint rid, null::bigint det, []::str
             else coalesce(list_sum(list_transform(list_filter(f.votes, lambda z: z.l = x.l), lambda w: w.p)), 0) end)::bigint}}),
        lambda x: {{'p': -x.p, 'l': x.l}})), lambda x: {{'l': x.l, 'p': -x.p}}) sc
    from fold f join steps s on {same} and s.bm = f.bm and s.n = f.n + 1)"""),
-        ("lab", """
+        ("lab", f"""
 select k.*, b.bm, f.det, f.det is not null as detected,
-  first_value(f.det ignore nulls) over (partition by k.grp, k.v, k.sid, b.bm order by k.rid
+  first_value(f.det ignore nulls) over (partition by k.grp, k.v{"" if scope == "vehicle" else ", k.sid"}, b.bm order by k.rid
     rows between current row and unbounded following) as line_id
 from kp k cross join buckets b left join fold f on f.grp = k.grp and f.v = k.v and f.rid = k.rid and f.bm = b.bm"""),
         ("near", """
@@ -163,6 +163,11 @@ _ENRICHED = f"""select {_RUN}, seq_no, t_us, t_end_us, geo_hash, lat, lon, event
   line_id, detected, line_label as route_name, route_to, ifopt as stop_ifopt, round(dist, 12) as stop_dist,
   start_mark as stop_route_index from final"""
 
+_STREAMED = """select v as vehicle_id, t_us, t_end_us, geo_hash,
+  case when detected and ifopt is not null then found_name else stop_name end as stop_name,
+  line_id, detected, line_label as route_name, ifopt as stop_ifopt, round(dist, 12) as stop_dist,
+  start_mark as stop_route_index"""
+
 _OSM_BASE = """with nodes as (
   select p_partkey as id, 49::double + (p_partkey % 1000)/1024::double as lat, 11::double + (p_partkey % 777)/1024::double as lon,
     p_size % 11 = 0 as bare, p_size % 3 = 0 as bus_stop, p_size % 5 = 0 as platform, p_size % 2 = 0 as bus,
@@ -247,6 +252,9 @@ from kp k left join stopgeo s on s.tile = k.tile"""),
                                group="left(gh, 4)"),
         "parameter_sweep": " union all ".join(
             f"select * from ({_with('lab', _share(i), buckets=(p.bucket_minutes,), p=p)})" for i, p in enumerate(SWEEP)),
+        "stop_departures": _with("final", f"""select {_RUN}, l.ifopt as stop_ifopt, t.departures, t.last_departure, t.first_line
+from final l left join (select ifopt, count(*) as departures, max(dep_sec) as last_departure, min(line_id) as first_line
+  from departures group by ifopt) t on t.ifopt = l.ifopt"""),
         "lines_file": _with("lines", """select line_id::varchar as line_id, line_label, route_to, null::varchar as color
 from lines"""),
         "stops_file": _with("departures", """select s.ifopt, s.stop_name, s.lat, s.lon, case right(s.ifopt, 1) when 'a' then 'a' else 'b' end as direction,
@@ -263,6 +271,13 @@ union all select 'relation', r.id, null, null, r.name, r.ref, 0, coalesce(sum(m.
   group by all""",
         "stored_waypoints": _with("waypoints", """select seq_no, vehicle_id::varchar as vehicle_id, t_us, lat, lon, event_type,
   stop_name, door, boarding, exiting from waypoints"""),
+        "stream_enrich": _with("final", _STREAMED + " from final"),
+        "stream_votes": _with("final", _STREAMED + " from final where line_id is not null", scope="vehicle"),
+        "stream_rejects": _with("waypoints", """select * from (
+  select 'late' as reason, vehicle_id, count(*) as records from waypoints
+  where seq_no % 37 = 0 and lat is not null and vehicle_id in (select vehicle_id from waypoints where lat is not null) group by all
+  union all select 'no time', vehicle_id, count(*) from waypoints where seq_no % 31 = 0 group by all
+  union all select 'corrupt', vehicle_id, count(*) from waypoints where seq_no % 29 = 0 group by all)"""),
         "waypoint_json": _with("waypoints", """select seq_no, vehicle_id::varchar as vehicle_id, t_us, lat, lon, event_type,
   stop_name, door, boarding, exiting from waypoints"""),
         "osm_routes": _OSM_BASE + f""",

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelabel.catalog import streams
 from ridelabel.functions import tiles
 from ridelabel.functions.timekeys import bucket, local_second_of_day
 from ridelabel.operators import index, match, osm, vote
@@ -273,6 +274,18 @@ def region_stored(spark, sf):
     return _enriched_columns(plans.read_partitions(spark, f"{folder}/out", done.schema), "match_partition")
 
 
+def stop_departures(spark, sf):
+    """Labelled keypoints with the full record of their stop, departures included."""
+    rows = plans.enrich(fx.fixture_waypoints(spark, sf), _master(spark, sf), P)
+    full = plans.with_stop_departures(rows, fx.fixture_departures(spark, sf), P)
+    departures = F.col("stop_scheduleStop.plannedDepartures")
+    return full.select(
+        *RUN, F.col("stop_scheduleStop.IFOPT").alias("stop_ifopt"),
+        F.when(departures.isNotNull(), F.size(departures)).cast("bigint").alias("departures"),
+        F.array_max(F.transform(departures, lambda d: d["dep_sec"])).alias("last_departure"),
+        F.array_min(F.transform(departures, lambda d: d["line_id"])).alias("first_line"))
+
+
 SWEEP = (
     P, P.with_(bucket_minutes=10, winning_margin=1), P.with_(session_gap_seconds=120, first_stop_votes=3),
     P.with_(session_gap_seconds=900, other_stop_votes=2, single_min_votes=3), P.with_(winning_margin=0, single_min_votes=1),
@@ -457,6 +470,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         backfill_lines, line_lookup, nearest_serving_stop, route_start_mark, enrich_full,
         region_partitioned, any_entity_match, bucket_sweep, waypoint_json, osm_routes, osm_stops,
         stop_direction, osm_select, osm_recurse_down, region_stored, parameter_sweep, lines_file, stops_file,
-        line_index_file, stop_index_file, osm_file, stored_waypoints,
+        line_index_file, stop_index_file, osm_file, stored_waypoints, stop_departures,
+        streams.stream_enrich, streams.stream_votes, streams.stream_rejects,
     ]
     return {"valid_positions": valid_positions_q, **{f.__name__: f for f in functions}}

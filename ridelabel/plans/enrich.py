@@ -18,7 +18,7 @@ from ridelabel.operators import match, vote
 from ridelabel.operators.collapse import collapse_runs
 from ridelabel.operators.index import SIZE_STEP
 from ridelabel.operators.sessions import GAP, valid_positions, with_cell, with_runs
-from ridelabel.operators.skew import CHUNK, split_hot, with_chunks
+from ridelabel.operators.skew import CHUNK, lookup, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.sources.master import MasterData
 from ridelabel.storage import written
@@ -126,6 +126,23 @@ def enrich(waypoints: DataFrame, master: MasterData, params: MatchParams = Match
     return _on_keypoints(_match, rows, master, params)
 
 
+def with_stop_departures(enriched: DataFrame, departures: DataFrame, params: MatchParams = MatchParams()) -> DataFrame:
+    """Enriched rows whose stop carries all its planned departures, as the timetable lists them.
+
+    Rows are as wide as their stop's timetable then, so this is a step of its own behind ``enrich``.
+    The table of departures has a row per stop and is shuffled with every stop spread over
+    ``join_salts`` salts: a popular stop does not meet in one task.
+    """
+    listed = departures.groupBy("IFOPT").agg(F.array_sort(F.collect_list(
+        F.struct("line_id", F.col("seq").cast("int").alias("seq"), "dep_sec"))).alias("_departures"))
+    keyed = enriched.withColumn("_stop", F.col("stop_scheduleStop.IFOPT"))
+    found = lookup(keyed, listed.withColumnRenamed("IFOPT", "_stop"), ["_stop"], False, params.join_salts,
+                   [F.col("vehicle_id"), F.col("run_id")])
+    stop = F.col("stop_scheduleStop")
+    full = F.when(stop.isNotNull(), stop.withField("plannedDepartures", F.col("_departures")))
+    return found.withColumn("stop_scheduleStop", full).drop("_stop", "_departures")
+
+
 #: Column that names a region or time interval matched by itself.
 PARTITION = "match_partition"
 
