@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from ridelabel.llm.infill import FimParams
 from ridelabel.llm.mixing import Curriculum
-from ridelabel.llm.urls import LONG_SUFFIXES, RULES, ReputationParams
+from ridelabel.llm.queries import MANGLED, PAGE_WORD
+from ridelabel.llm.urls import CELLS, RULES, SECOND_LEVEL, ReputationParams
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -15,7 +16,11 @@ def _urls(rules=RULES, params: ReputationParams = ReputationParams()) -> str:
         for own, slash, rest in [rule.partition("/")]]
     name = " ".join(f"when {fits} then '{rule}'" for fits, rule, _ in cases)
     verdict = " ".join(f"when {fits} then '{what}'" for fits, _, what in cases)
-    long = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
+    second = ", ".join(f"'{s}'" for s in SECOND_LEVEL)
+    angle = f"(low + (i + 0.5::double) * width)"
+    log_density = "((2 * a - 1) * ln(sin({0})) + (2 * b - 1) * ln(cos({0})))"
+    density = f"exp({log_density.format(angle)} - {log_density.format('greatest(least(mid, 1.55::double), 0.02::double)')})"
+    part = f"greatest(0, least(1, (low + i * width + width - asin(sqrt({params.limit}::double))) / width))"
 
     def level(name: str, table: str, by: str) -> str:
         rho = ("(sum((k - n * prior) ** 2) - sum(n * prior * (1 - prior))) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0)")
@@ -27,22 +32,29 @@ def _urls(rules=RULES, params: ReputationParams = ReputationParams()) -> str:
 with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end rest from pages),
 p as (select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) path from u),
-o as (select host, (coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1)::int bad from p join labels on doc_id = page_id),
-h0 as (select host, sum(bad)::double k, count(*)::double n, string_split(host, '.') l from o group by host),
-h1 as (select *, array_to_string(l[greatest(len(l) - 1, 1):greatest(len(l), 1)], '.') two from h0),
-h as (select host, k, n,
-  case when two in ({long}) and len(l) > 2 then array_to_string(l[len(l) - 2:len(l)], '.') else two end as dom,
-  case when two in ({long}) and len(l) > 2 then two else l[len(l)] end as suf from h1),
+w as (select page_id, len(regexp_extract_all(html, '{PAGE_WORD}')) words, len(regexp_extract_all(html, '{MANGLED}')) mangled from pages),
+o as (select regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*)?\\.?$|\\.:[0-9]*$', '') site, (5 * mangled >= words)::int bad
+  from p join w using (page_id) where words >= 20),
+h0 as (select site host, sum(bad)::double k, count(*)::double n, string_split(site, '.') l from o group by site),
+h as (select host, k, n, case when ip then host else array_to_string(l[greatest(len(l) - m, 1):len(l)], '.') end as dom,
+  case when ip then host else array_to_string(l[greatest(len(l) - m + 1, 1):len(l)], '.') end as suf
+  from (select *, regexp_matches(host, '^\\[|^[0-9]+(\\.[0-9]+){{3}}$') ip,
+    case when len(l) > 2 and length(l[-1]) = 2 and l[-2] in ({second}) then 2 else 1 end m from h0)),
 d as (select dom, suf, sum(k) k, sum(n) n from h group by all),
 s as (select suf, sum(k) k, sum(n) n, (select sum(k) / sum(n) from h) prior from d group by suf),
 {level("sx", "s", "suf")},
 dp as (select d.*, sx.rate prior from d join sx using (suf)),
 {level("dx", "dp", "dom")},
-hp as (select h.*, dx.rate prior from h join dx using (dom)),
+hp as (select h.*, dx.rate prior from h join dx using (dom, suf)),
 {level("hx", "hp", "host")},
-b as (select host from hx where rate - {params.z} * sqrt(rate * (1 - rate) / (n + m + 1)) > {params.limit})
+c as (select host, k + m * prior a, n - k + m * (1 - prior) b from hx where rate > {params.sure} * {params.limit}),
+g as (select *, asin(sqrt(a / (a + b))) mid, 4 / sqrt(a + b + 1) reach from c),
+e as (select *, greatest(mid - reach, 0) low, (least(mid + reach, pi() / 2) - greatest(mid - reach, 0)) / {CELLS} width from g),
+b as (select host from e where b <= 0 or list_sum(list_transform(range({CELLS}), lambda i: {density} * {part}))
+  / list_sum(list_transform(range({CELLS}), lambda i: {density})) >= {params.sure})
 select page_id, host, path, case {name} end as "rule",
-  coalesce(case {verdict} end, case when host in (select host from b) then 'block' else 'allow' end) verdict
+  coalesce(case {verdict} end, case when regexp_replace(regexp_replace(host, '^.*@', ''), '(:[0-9]*)?\\.?$|\\.:[0-9]*$', '') in (select host from b)
+    then 'block' else 'allow' end) verdict
 from p
 """
 

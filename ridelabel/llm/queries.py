@@ -23,12 +23,20 @@ from ridelabel.llm.search import ranked_search
 from ridelabel.llm.urls import judge_urls
 
 
+#: Marks that a page's text has been mangled, and what counts as its words.
+MANGLED, PAGE_WORD = r"(\*\*\*|###|\$\$\$|%%%|&amp;&amp;&amp;|!!)([\x20\x0A<]|$)", r"[^\x20\x09-\x0D<>]+"
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's outcome is what `labels` says under its number: bad if of low quality or toxic."""
-    labels = read(spark, sf_dir, "labels")
-    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
-    outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad"))
-    return judge_urls(read(spark, sf_dir, "pages"), outcomes)
+    """A page's outcome is read off its own text: bad if a fifth of its words end in runs of symbols.
+
+    Pages of fewer than 20 words say too little and have no outcome.
+    """
+    pages = read(spark, sf_dir, "pages")
+    words, mangled = (F.regexp_count("html", F.lit(p)) for p in (PAGE_WORD, MANGLED))
+    outcomes = pages.select("page_id", words.alias("words"), mangled.alias("mangled")).where("words >= 20").select(
+        "page_id", (5 * F.col("mangled") >= F.col("words")).cast("int").alias("bad"))
+    return judge_urls(pages, outcomes)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

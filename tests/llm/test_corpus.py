@@ -2,14 +2,17 @@
 
 import hashlib
 import re
-from math import exp
+from math import asin, exp, pi, sqrt
 
+import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ridelabel.llm import oracles, queries
 from ridelabel.llm.mixing import Curriculum, mix
-from ridelabel.llm.urls import ReputationParams, judge_urls, reputations
+from ridelabel.llm.urls import ReputationParams, chance_above, judge_urls, registered_domain, reputations, site_of
 from tests.compare import compare, connect
 from tests.llm import plain
 from tests.llm.test_dedup import _lines
@@ -28,7 +31,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 def test_every_operator_is_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] and set(oracles.oracle_sql()) < set(names)
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and set(oracles.oracle_sql()) < set(names)
 
 
 def _plain_mix(rows, plan):
@@ -95,15 +98,59 @@ def test_reputation_shrinks_through_domain_and_suffix(spark):
     rows = [(f"h{i}.good.com", 0) for i in range(30) for _ in range(10)] + [(f"h{i}.bad.com", 1) for i in range(30) for _ in range(10)]
     rows += [("new.bad.com", 1), ("new.good.com", 1), ("www.shop.co.uk", 0), ("localhost", 0), ("h1.good.com", None)]
     got = {r.host: r for r in reputations(spark.createDataFrame(rows, "host string, bad int")).collect()}
-    assert got["h3.bad.com"].lower > 0.5 > got["h3.good.com"].lower
+    assert got["h3.bad.com"].above > 0.95 and got["h3.good.com"].above is None
     assert got["new.bad.com"].bad_rate > 0.8 and got["new.good.com"].bad_rate < 0.5
-    assert all(r.lower <= r.bad_rate for r in got.values()) and got["h1.good.com"].n == 10
+    assert all(r.above is None or 0 <= r.above <= 1 for r in got.values()) and got["h1.good.com"].n == 10
     pages = spark.createDataFrame([(i, f"http://{h}/x") for i, (h, _) in enumerate(rows)], "page_id long, url string")
     outcomes = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(rows)], "page_id long, bad int")
     verdicts = {(r.host, r.verdict) for r in judge_urls(pages, outcomes, rules=(), params=ReputationParams()).collect()}
     assert ("h3.bad.com", "block") in verdicts and ("h3.good.com", "allow") in verdicts
 
 
+def test_domains_and_suffixes_of_sites(spark):
+    want = {
+        "a.b.co.il": ("b.co.il", "co.il"), "x.example.com": ("example.com", "com"), "co.uk": ("co.uk", "uk"), "uk": ("uk", "uk"),
+        "shop.gov.br": ("shop.gov.br", "gov.br"), "a.b.de": ("b.de", "de"), "10.1.2.3": ("10.1.2.3", "10.1.2.3"), "[::1]": ("[::1]", "[::1]"),
+        "me.pages.host.io": ("me.pages.host.io", "pages.host.io"), "x.me.host.io": ("me.host.io", "host.io"), "": ("", ""), "1.2.3": ("2.3", "3")}
+    rows = spark.createDataFrame([(h,) for h in want], "host string")
+    domain, suffix = registered_domain(F.col("host"), ("host.io", "pages.host.io"))
+    assert {r.host: (r.d, r.s) for r in rows.select("host", domain.alias("d"), suffix.alias("s")).collect()} == want
+    sites = {"u:p@a.com:80": "a.com", "a.com.": "a.com", "a.com.:8": "a.com", "[::1]:80": "[::1]", "[::1]": "[::1]", "a": "a", ":80": ""}
+    rows = spark.createDataFrame([(h,) for h in sites], "host string").select("host", site_of(F.col("host")).alias("s"))
+    assert {r.host: r.s for r in rows.collect()} == sites
+
+
+def test_posterior_probability_equals_fine_integration(spark):
+    pairs = [(0.7, 0.4), (1.0, 1.0), (3.0, 2.0), (8.5, 0.5), (60.0, 41.0), (5_000.0, 4_900.0), (0.5, 30.0), (600_000.0, 599_000.0)]
+    rows = spark.createDataFrame(pairs, "a double, b double").select("a", "b", chance_above(0.5, F.col("a"), F.col("b")).alias("p")).collect()
+    for r in rows:
+        mean, reach = asin(sqrt(r.a / (r.a + r.b))), 8 / sqrt(r.a + r.b + 1)
+        x = np.linspace(max(mean - reach, 0), min(mean + reach, pi / 2), 2_000_001)
+        x = (x[1:] + x[:-1]) / 2
+        log = (2 * r.a - 1) * np.log(np.sin(x)) + (2 * r.b - 1) * np.log(np.cos(x))
+        density = np.exp(log - log.max())
+        assert r.p == pytest.approx(density[x > pi / 4].sum() / density.sum(), abs=0.004)
+
+
+def test_planted_hosts_domains_and_suffixes_are_blocked_in_query_and_sql(spark, tmp_path):
+    """One bad host of a good domain, a bad domain with a page seen once, a bad suffix with a new domain."""
+    good, bad = "<p>" + "plain words here " * 9, "<p>" + "man*** gled%%% words!! " * 9
+    urls = [(f"http://h{i % 5}.fine{i % 7}.{'com' if i % 2 else 'co.uk'}/{i}", good) for i in range(600)]
+    urls += [(f"https://u@spoilt.fine1.com:8{i}/x", bad) for i in range(40)] + [(f"http://w{i}.worse.com/", bad) for i in range(40)]
+    urls += [(f"http://w.d{i}.rotten/{j}", bad) for i in range(30) for j in range(4)]
+    urls += [("http://seen.worse.com/once", bad), ("http://w.new.rotten/once", bad), ("http://h0.fine0.com/odd", bad),
+             ("http://10.0.0.1/", "few words"), ("http://never.seen/", None), (None, good)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(urls)], "page_id long, url string, html string")
+    pages.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    query, sql = queries.queries()["op1_url_filter"], oracles.oracle_sql()["op1_url_filter"]
+    assert compare(spark, con, str(tmp_path), query, sql) is None
+    blocked = {r.host.split("@")[-1].split(":")[0] for r in query(spark, str(tmp_path)).where("verdict = 'block'").collect()}
+    assert {"spoilt.fine1.com", "w3.worse.com", "seen.worse.com", "w.d3.rotten", "w.new.rotten"} <= blocked
+    assert not any(h.startswith("h") or h in ("10.0.0.1", "never.seen", "") for h in blocked)
+
+
 def test_pipeline_stages_equal_plain_versions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     frames = [docs]
