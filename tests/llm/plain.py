@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
-from math import exp, log
+from math import ceil, exp, log
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -93,3 +94,34 @@ def kneser_ney(texts, order=4):
 
 def perplexity(score, text):
     return exp(-score(text) / len(text))
+
+
+def quality(rows, labels, quantile=0.995, factor=1.02, enough=20, prior=200.0):
+    """doc_id -> whether a document of (doc_id, text, lang) is kept, for labels of (doc_id, quality)."""
+    worst = {}
+    for i, good in labels:
+        if i is not None and good is not None:
+            worst[i] = min(good, worst.get(i, 1))
+    trusted = {i for i, good in worst.items() if good == 1}
+    apart = {i for i in trusted if zlib.crc32(str(i).encode()) % 2 == 0}
+    score = kneser_ney([t or "" for i, t, _ in rows if i in trusted - apart])
+    seen = [(i, lang, len(t), score(t)) for i, t, lang in rows if t]
+    unseen = [(lang, n, s) for i, lang, n, s in seen if i in apart]
+
+    def of_language(lang, value):
+        own = [x for x in unseen if x[0] == lang] if lang is not None else []
+        return value(own if len(own) >= enough else unseen)
+
+    def smoothed(lang, n, s):
+        usual = of_language(lang, lambda own: -sum(x[2] for x in own) / sum(x[1] for x in own))
+        return exp((prior * usual - s) / (n + prior))
+
+    def threshold(lang):
+        def highest(own):
+            steps = sorted(ceil(smoothed(*x) / 0.001) for x in own)
+            return steps[ceil(len(steps) * quantile) - 1] * 0.001 * factor
+
+        return of_language(lang, highest)
+
+    kept = {i: smoothed(lang, n, s) <= threshold(lang) for i, lang, n, s in seen}
+    return {i: kept.get(i, False) for i, _, _ in rows}
