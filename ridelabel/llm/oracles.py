@@ -68,15 +68,14 @@ from n window w as (partition by k order by n desc, doc_id rows between unbounde
 """
 
 _LINES = rf"""
-with l as (
-  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) i from documents),
+with d as (select row_number() over () row, doc_id, string_split(coalesce(text, ''), chr(10)) ls from documents),
+l as (select row, doc_id, unnest(ls) line, generate_subscripts(ls, 1) i from d),
 k as (select *, translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') k from l),
-n as (select k from k where k <> '' group by k having count(distinct doc_id) >= 10),
+n as (select k from k where k <> '' group by k having count(distinct row) >= 10),
 f as (select k.*, n.k is not null gone from k left join n on n.k = k.k)
 select doc_id, count(*) n_lines, count(*) filter (gone) n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) kept_sha256
-from f group by doc_id
+from f group by row, doc_id
 """
 
 _DECONTAMINATION = r"""

@@ -31,6 +31,17 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, queries.queries()[name], oracles.oracle_sql()[name]) is None
 
 
+def test_rows_that_repeat_an_id_count_as_documents_in_lines_and_sql(spark, tmp_path):
+    rows = [(7, "shared\nown")] * 10 + [(i, f"other {i}\nShared ") for i in range(3)] + [(20, None), (20, "\n")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    query = queries.queries()["op5_line_dedup"]
+    assert compare(spark, con, str(tmp_path), query, oracles.oracle_sql()["op5_line_dedup"]) is None
+    assert sorted((r.doc_id, r.n_dropped) for r in query(spark, str(tmp_path)).collect()) == [
+        (0, 1), (1, 1), (2, 1), *[(7, 2)] * 10, (20, 0), (20, 0)]
+
+
 def test_every_operator_is_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] and set(oracles.oracle_sql()) < set(names)
