@@ -24,6 +24,7 @@ Sink = dict[str, str] | Callable[[DataFrame, int], None]
 BAD, NO_TIME = "corrupt", "no time"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,12 +70,12 @@ def _write_rejects(packed: DataFrame, waypoints: DataFrame, folder: str, batch_i
 
 
 def _start(packed: DataFrame, checkpoint: str, act: Callable[[DataFrame, int], None], trigger: dict,
-           name: str = "ledger") -> StreamingQuery:
+           partitions: int | None) -> StreamingQuery:
     """Run `act` once for each micro-batch of a stream."""
     spark = packed.sparkSession
     # The closing state is a list per vehicle, which only this store appends to.
     spark.conf.set(STATE_STORE, ROCKS_DB)
-    ledger = Ledger(spark, f"{checkpoint}/{name}")
+    ledger = Ledger(spark, f"{checkpoint}/ledger")
 
     def once(batch: DataFrame, batch_id: int) -> None:
         if ledger.has(batch_id):
@@ -92,12 +93,15 @@ def _start(packed: DataFrame, checkpoint: str, act: Callable[[DataFrame, int], N
     writer = packed.writeStream.foreachBatch(once).outputMode("append").option("checkpointLocation", checkpoint)
     # Timers need batches without data, with which a run over what is there would never end.
     endless = not {"availableNow", "once"} & set(trigger)
-    before = spark.conf.get(IDLE_BATCHES)
-    spark.conf.set(IDLE_BATCHES, str(endless).lower())
+    settings = {IDLE_BATCHES: str(endless).lower()} | ({PARTITIONS: str(partitions)} if partitions else {})
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         return writer.trigger(**trigger).start()
     finally:
-        spark.conf.set(IDLE_BATCHES, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def _packed(waypoints: DataFrame, params: MatchParams, close: str, silence_seconds: int | None) -> DataFrame:
@@ -113,7 +117,7 @@ def _packed(waypoints: DataFrame, params: MatchParams, close: str, silence_secon
 def enrich_stream(waypoints: DataFrame, master: MasterData, sink: Sink, checkpoint: str,
                   params: MatchParams = MatchParams(), close: str = "event_time",
                   silence_seconds: int | None = None, trigger: dict | None = None,
-                  rejects: str | None = None) -> StreamingQuery:
+                  rejects: str | None = None, partitions: int | None = None) -> StreamingQuery:
     """Start labelling a stream of decoded waypoints.
 
     ``close="event_time"`` ends sessions by each vehicle's event time, or when it sent nothing for
@@ -128,7 +132,8 @@ def enrich_stream(waypoints: DataFrame, master: MasterData, sink: Sink, checkpoi
     (value, reason), from where ``read_rejects`` brings them back. Rows without position are left
     out, as in the batch job.
 
-    Votes stay within a session here; for ``scope="vehicle"`` use ``enrich_stream_by_vehicle``.
+    ``partitions`` is the number of parts of the state, which a checkpoint keeps for good; without
+    it the session's shuffle partitions count. Votes stay within a session here; for ``scope="vehicle"`` use ``enrich_stream_by_vehicle``.
     """
     if params.scope != "session":
         raise ValueError("votes that cross sessions need enrich_stream_by_vehicle")
@@ -140,13 +145,13 @@ def enrich_stream(waypoints: DataFrame, master: MasterData, sink: Sink, checkpoi
             _write_rejects(batch, waypoints, rejects, batch_id)
 
     regular = {"processingTime": f"{params.idle_flush_seconds} seconds"}
-    return _start(_packed(waypoints, params, close, silence_seconds), checkpoint, label, trigger or regular)
+    return _start(_packed(waypoints, params, close, silence_seconds), checkpoint, label, trigger or regular, partitions)
 
 
 def enrich_stream_by_vehicle(waypoints: DataFrame, master: MasterData, sink: Sink, checkpoint: str,
                              params: MatchParams = MatchParams(scope="vehicle"), close: str = "event_time",
                              silence_seconds: int | None = None, vote_silence_seconds: int | None = None,
-                             trigger: dict | None = None, rejects: str | None = None,
+                             trigger: dict | None = None, rejects: str | None = None, partitions: int | None = None,
                              ) -> tuple[StreamingQuery, StreamingQuery]:
     """The same with votes that go on from one session of a vehicle to its next.
 
@@ -174,7 +179,7 @@ def enrich_stream_by_vehicle(waypoints: DataFrame, master: MasterData, sink: Sin
     schema = steps(spark.createDataFrame([], waypoints.select(*columns).schema)).schema
     # The folder must exist before the second stream looks into it.
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{folder}/batch_id=-1")
-    first = _start(_packed(waypoints, params, close, silence_seconds), f"{checkpoint}/sessions", collapse, regular)
+    first = _start(_packed(waypoints, params, close, silence_seconds), f"{checkpoint}/sessions", collapse, regular, partitions)
 
     stored = spark.readStream.schema(schema).parquet(f"{folder}/batch_id=*")
     wait = params.detection_gap_seconds if vote_silence_seconds is None else vote_silence_seconds
@@ -183,7 +188,7 @@ def enrich_stream_by_vehicle(waypoints: DataFrame, master: MasterData, sink: Sin
     def label(batch: DataFrame, batch_id: int) -> None:
         write_batch(with_details(voted.unpack(batch), master, params), sink, batch_id)
 
-    return first, _start(voted.packed, f"{checkpoint}/votes", label, regular)
+    return first, _start(voted.packed, f"{checkpoint}/votes", label, regular, partitions)
 
 
 def rejected_rows(query: StreamingQuery) -> dict[str, int]:
