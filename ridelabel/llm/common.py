@@ -25,6 +25,12 @@ SLICE_BYTES = 4 << 20
 #: Rows of narrow keys (under 64 bytes each) that may be broadcast. More are shuffled.
 BROADCAST_ROWS = 500_000
 
+#: Bytes that may be broadcast where rows are not narrow.
+BROADCAST_BYTES = 64 << 20
+
+#: Copies of what is known of a text, for the rows of one text to spread over.
+SALTS = 8
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +52,36 @@ def semi(big: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return big.join(F.broadcast(keys) if small_enough(keys) else keys, on, "left_semi")
 
 
+def text_key(text: Column) -> Column:
+    """32 bytes that tell texts apart; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("binary"), F.lit(b"")), 256))
+
+
+def once_a_text(round_: DataFrame) -> DataFrame:
+    """What a round over the documents gave, (_key, _part), written without repeating a text."""
+    return stored(round_.select("_key", "_part").dropDuplicates(["_key"]))
+
+
+def with_parts(rows: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """`rows`, which have a _key, with `_parts`: what the stored rounds gave for their text, in the order of
+    the rounds, null if nothing. Rounds need not write texts anew: the parts find their rows by the key.
+
+    The parts are broadcast if few and small; else the rows of one text spread over copies of its parts.
+    """
+    every = rounds[0].select("_key", F.lit(0).alias("_round"), "_part")
+    for i, given in enumerate(rounds[1:], 1):
+        every = every.unionAll(given.select("_key", F.lit(i).alias("_round"), "_part"))
+    gathered = every.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_round", "_part"))).alias("_own"))
+    parts = stored(gathered.select("_key", F.col("_own._part").alias("_parts")))
+    if small_enough(parts):
+        size = parts.agg(F.sum(F.octet_length(F.to_json(F.struct("_parts"))))).first()[0] or 0
+        if size <= BROADCAST_BYTES:
+            return rows.join(F.broadcast(parts), "_key", "left")
+    spread = F.pmod(F.xxhash64(*(F.col(c) for c in rows.columns if c != "_key")), F.lit(SALTS)).cast("int")
+    copies = parts.withColumn("_salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
+    return rows.withColumn("_salt", spread).join(copies, ["_key", "_salt"], "left").drop("_salt")
+
+
 def drop_white(text: Column) -> Column:
     for c in WHITESPACE:
         text = F.replace(text, F.lit(c), F.lit(""))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, releasing, stored
+from ridelabel.llm.common import once_a_text, python_columns, releasing, stored, text_key, with_parts
 
 WINDOW = 13
 SHINGLE = 5
@@ -168,7 +168,8 @@ def decontaminate(
     Frequencies of the benchmark's shingles are counted over all documents. Each window is then
     looked up by its rarest shingle; the shingle's place in the window gives the only place where
     the document can hold it, and the words there are compared. The benchmark is taken in blocks of
-    bounded size; each is broadcast and passes over the documents once to count and once to search.
+    bounded size; each is broadcast and passes over the documents once to count and once to search. With
+    several blocks, a round writes only what it finds, by a hash of the text; texts are not written.
     """
     spark = docs.sparkSession
     items = benchmark.select(
@@ -176,9 +177,8 @@ def decontaminate(
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     items = stored(items.withColumn("block", F.pmod(F.xxhash64("item", "body"), F.lit(blocks))))
-    rows = docs.select(
-        id_col, *extra, F.col(text_col).cast("binary").alias("_text"), F.lit(b"").alias("_spans"),
-        F.array().cast("array<string>").alias("_items"))
+    rows = docs.select(id_col, *extra, F.col(text_col).cast("binary").alias("_text"))
+    rounds = []
     for i in range(blocks):
         block = Windows([(r["item"], bytes(r["body"])) for r in items.where(F.col("block") == i).collect()])
         held = spark.sparkContext.broadcast(block)
@@ -186,62 +186,88 @@ def decontaminate(
             if block.windows else {}
         block.order_by_rarity(counts)
         held = spark.sparkContext.broadcast(block)
-        final = i == blocks - 1
-        rows = python_columns(
-            rows, _searcher(held, final),
-            "n_words long, n_hit long, n_items long, items array<string>, contaminated boolean" if final
-            else "_text binary, _spans binary, _items array<string>",
-            {"text": F.col("_text"), "spans": F.col("_spans"), "items": F.col("_items")}, [id_col, *extra])
-        if not final:
-            rows = stored(rows)
-    return rows
-
-
-def _searcher(held, final: bool) -> Callable:
+        if blocks == 1:
+            return python_columns(rows, _judge(held), _FIELDS, {"text": F.col("_text")}, [id_col, *extra])
+        keyed = rows.select(text_key(F.col("_text")).alias("_key"), "_text")
+        found = python_columns(keyed, _searcher(held), f"_part {_PART}", {"text": F.col("_text")}, ["_key"])
+        rounds.append(once_a_text(found.where("size(_part.first) > 0")))
+    parted = with_parts(rows.withColumn("_key", text_key(F.col("_text"))), rounds)
+    return python_columns(
+        parted, _judge(), _FIELDS, {"text": F.col("_text"), "parts": F.col("_parts")}, [id_col, *extra])
+
+
+#: What a round finds in a text: the runs of hit words, from first to before last, and the items.
+_PART = "struct<first: array<int>, last: array<int>, items: array<string>>"
+_ARROW_PART = pa.struct([
+    ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+_FIELDS = "n_words long, n_hit long, n_items long, items array<string>, contaminated boolean"
+
+
+def _found(block: Windows, bodies: list[bytes | None]) -> tuple[np.ndarray, list[dict]]:
+    """Number of words of each text, and what the block's windows hit there."""
+    sizes, parts = np.zeros(len(bodies), np.int64), []
+    for piece in _chunks(bodies):
+        texts = [words_of(t) for t in bodies[piece]]
+        sizes[piece] = [len(t) for t in texts]
+        ids, begins = block.ids_of(texts)
+        edge = np.zeros(len(ids) + 1, np.int64)
+        names: list[set[str]] = [set() for _ in texts]
+        for n, start, window in block.occurrences(ids):
+            np.add.at(edge, start, 1)
+            np.add.at(edge, start + n, -1)
+            own = np.searchsorted(begins, start, "right") - 1
+            for d, w in set(zip(own.tolist(), window.tolist())):
+                names[d].update(block.items[n][w])
+        # Word 0 after each text is never hit, so no run goes on from one text to the next.
+        turn = np.diff(np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]]).astype(np.int8))
+        first, last = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+        cut = np.searchsorted(first, begins)
+        for d, own_names in enumerate(names):
+            at = slice(cut[d], cut[d + 1])
+            parts.append({
+                "first": (first[at] - begins[d]).tolist(), "last": (last[at] - begins[d]).tolist(),
+                "items": sorted(own_names)})
+    return sizes, parts
+
+
+def _searcher(held) -> Callable:
     def make():
-        block: Windows = held.value
-
         def search(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
+            return {"_part": pa.array(_found(held.value, batch["text"].to_pylist())[1], _ARROW_PART)}
+
+        return search
+
+    return make
+
+
+def _judge(held=None) -> Callable:
+    """The columns of a document from what all rounds found in it, or what the only one finds now."""
+    def make():
+        def judge(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
             bodies = batch["text"].to_pylist()
-            spans = [np.frombuffer(s or b"", "<i4").reshape(-1, 2) for s in batch["spans"].to_pylist()]
-            names = [set(n or ()) for n in batch["items"].to_pylist()]
-            hits, sizes = np.zeros(len(bodies), np.int64), np.zeros(len(bodies), np.int64)
-            for piece in _chunks(bodies):
-                texts = [words_of(t) for t in bodies[piece]]
-                sizes[piece] = [len(t) for t in texts]
-                ids, begins = block.ids_of(texts)
-                edge = np.zeros(len(ids) + 1, np.int64)
-                for d in range(piece.start, piece.stop):
-                    old = spans[d] + begins[d - piece.start]
-                    np.add.at(edge, old[:, 0], 1)
-                    np.add.at(edge, old[:, 1], -1)
-                for n, start, window in block.occurrences(ids):
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + n, -1)
-                    own = np.searchsorted(begins, start, "right") - 1
-                    for d, w in set(zip(own.tolist(), window.tolist())):
-                        names[piece.start + d].update(block.items[n][w])
-                inside = np.cumsum(edge[:-1]) > 0
-                before = np.concatenate([[0], np.cumsum(inside)])
-                hits[piece] = before[begins[1:]] - before[begins[:-1]]
-                if not final:
-                    turn = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-                    first, last = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
-                    own = np.searchsorted(begins, first, "right") - 1
-                    for d in range(piece.start, piece.stop):
-                        at = own == d - piece.start
-                        spans[d] = np.stack([first[at], last[at]], 1) - begins[d - piece.start]
-            if not final:
-                return {
-                    "_text": pa.array(bodies, pa.binary()),
-                    "_spans": pa.array([s.astype("<i4").tobytes() for s in spans], pa.binary()),
-                    "_items": pa.array([sorted(n) for n in names], pa.list_(pa.string()))}
+            if held is not None:
+                sizes, found = _found(held.value, bodies)
+                given = [[part] for part in found]
+            else:
+                sizes = np.array([len(words_of(t)) for t in bodies], np.int64)
+                given = [parts or () for parts in batch["parts"].to_pylist()]
+            hits = np.array([_covered(parts) for parts in given], np.int64)
+            names = [sorted({x for part in parts for x in part["items"]}, key=str.encode) for parts in given]
             return {
-                "n_words": pa.array(sizes), "n_hit": pa.array(hits),
-                "n_items": pa.array([len(n) for n in names], pa.int64()),
-                "items": pa.array([sorted(n, key=str.encode) for n in names], pa.list_(pa.string())),
+                "n_words": pa.array(sizes), "n_hit": pa.array(hits), "n_items": pa.array([len(n) for n in names], pa.int64()),
+                "items": pa.array(names, pa.list_(pa.string())),
                 "contaminated": pa.array((hits > 0) & (20 * hits >= sizes))}
 
-        return search
+        return judge
 
     return make
+
+
+def _covered(parts: Iterable[dict]) -> int:
+    """Number of words in at least one of the runs."""
+    runs = sorted((a, b) for part in parts for a, b in zip(part["first"], part["last"]))
+    total = end = 0
+    for a, b in runs:
+        total += max(0, b - max(a, end))
+        end = max(end, b)
+    return total

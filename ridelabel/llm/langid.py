@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -12,20 +12,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, releasing, stored
+from ridelabel.llm.common import once_a_text, python_columns, releasing, stored, text_key, with_parts
 
 UNKNOWN = "und"
 #: Languages in one word of a filter row.
 WORD = 63
 #: Characters that are looked at together.
 CHUNK_CHARS = 500_000
+#: Trigrams of all languages that a task adds up before it sends them on.
+TASK_KEYS = 2_000_000
 
 
 @dataclass(frozen=True)
 class LangIdParams:
     """`share`: a trigram is in a language's filter if it is at least this share as frequent there
-    as in the language where it is most frequent. `slots_per_gram` and `most_slots` size the filter,
-    `hashes` are the probes per trigram."""
+    as in the language where it is most frequent. A filter has `slots_per_gram` slots for each trigram.
+    Beyond `most_slots` slots (over all words of a row) trigrams are dealt to several filters by hash, one
+    round over the texts each. `hashes` are the probes per trigram."""
 
     share: float = 0.2
     slots_per_gram: int = 16
@@ -88,8 +91,9 @@ def gram_counts(texts: DataFrame, languages: list[str]) -> DataFrame:
                     new, n = np.unique(grams[lang == i], return_counts=True)
                     keys, at = np.unique(np.concatenate([sums[i][0], new]), return_inverse=True)
                     sums[i] = keys, np.bincount(at, np.concatenate([sums[i][1], n]), len(keys)).astype(np.int64)
-                    if len(keys) > 1_000_000:
-                        yield packed(i, *sums[i])
+                if sum(len(keys) for keys, _ in sums.values()) > TASK_KEYS:
+                    for i, (keys, n) in sums.items():
+                        yield packed(i, keys, n)
                         sums[i] = keys[:0], n[:0]
         for i, (keys, n) in sums.items():
             if len(keys):
@@ -104,18 +108,24 @@ def gram_counts(texts: DataFrame, languages: list[str]) -> DataFrame:
 
 
 class Filters:
-    """Bloom filters of all languages, sliced so that one row holds a slot's bit of each language."""
+    """Bloom filters of all languages, sliced so that one row holds a slot's bit of each language.
 
-    def __init__(self, languages: list[str], usual: str, rows: np.ndarray, hashes: int):
-        self.languages, self.usual, self.rows, self.hashes = languages, usual, rows, hashes
-        fill = [((rows[:, i // WORD] >> (i % WORD)) & 1).mean() for i in range(len(languages))]
+    `shard` of `shards`: the filters hold the trigrams that fall there by hash, and judge only those.
+    """
+
+    def __init__(self, n_languages: int, rows: np.ndarray, hashes: int, shard: int = 0, shards: int = 1):
+        self.n_languages, self.rows, self.hashes, self.shard, self.shards = n_languages, rows, hashes, shard, shards
+        fill = [((rows[:, i // WORD] >> (i % WORD)) & 1).mean() for i in range(n_languages)]
         self.false = np.array(fill) ** hashes
 
     def matches(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(texts, languages) trigrams found in each language's filter, and all trigrams of each text."""
-        found, total = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        """(texts, languages) trigrams found in each language's filter, and all judged trigrams of each text."""
+        found, total = np.zeros((len(texts), self.n_languages)), np.zeros(len(texts))
         for piece in _pieces(texts):
             grams, owner = trigrams(texts[piece])
+            if self.shards > 1:
+                mine = _shard(grams, self.shards, self.hashes) == self.shard
+                grams, owner = grams[mine], owner[mine]
             size = piece.stop - piece.start
             total[piece] = np.bincount(owner, minlength=size)
             for word in range(self.rows.shape[1]):
@@ -123,20 +133,54 @@ class Filters:
                 mask = column[_slots(grams, 0, len(column))]
                 for probe in range(1, self.hashes):
                     mask &= column[_slots(grams, probe, len(column))]
-                for i in range(word * WORD, min(len(self.languages), (word + 1) * WORD)):
+                for i in range(word * WORD, min(self.n_languages, (word + 1) * WORD)):
                     bit = ((mask >> np.array(i % WORD, mask.dtype)) & 1).astype(bool)
                     found[piece, i] = np.bincount(owner[bit], minlength=size)
         return found, total
 
-    def decide(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def evidence(self, texts: list[str | None]) -> np.ndarray:
+        """A row per text: its judged trigrams; those found in each language less the false positives to
+        expect if it has none of them; and the most that this can come to. Rows of all shards add up."""
         found, total = self.matches(texts)
-        share = found / np.maximum(total, 1)[:, None]
-        # A language with false positive rate f shows f of the trigrams it does not have.
-        share = np.clip((share - self.false) / np.maximum(1 - self.false, 1e-9), 0, 1)
-        best = share.argmax(1) if len(self.languages) else np.zeros(len(texts), np.int64)
-        names, scores = [], np.zeros(len(texts))
+        false = total[:, None] * self.false
+        return np.concatenate([total[:, None], found - false, total[:, None] - false], 1)
+
+
+def _shard(grams: np.ndarray, shards: int, hashes: int) -> np.ndarray:
+    """A further hash than those of the slots; `shards` is a power of two."""
+    return _slots(grams, hashes, shards)
+
+
+@dataclass(frozen=True)
+class LanguageModel:
+    """`table` (shard, slot, word, bits) holds the filters of all shards, `usual` is the language learned from most."""
+
+    languages: list[str]
+    usual: str
+    table: DataFrame | None
+    slots: int
+    shards: int
+    hashes: int
+
+    def filters(self, shard: int) -> Filters:
+        """The filters of a shard: at most `most_slots` numbers come to the driver."""
+        rows = np.zeros((self.slots, max(1, -(-len(self.languages) // WORD))), np.int64)
+        if self.table is not None:
+            table = self.table.where(F.col("shard") == shard).select("slot", "word", "bits").toArrow()
+            rows[table.column("slot").to_numpy(), table.column("word").to_numpy()] = table.column("bits").to_numpy()
+        if len(self.languages) <= 8:
+            rows = rows.astype(np.uint8)
+        return Filters(len(self.languages), rows, self.hashes, shard, self.shards)
+
+    def decide(self, evidence: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The best language and its share, given a row of summed evidence for each text."""
+        n = len(self.languages)
+        total, net, room = evidence[:, 0], evidence[:, 1:n + 1], evidence[:, n + 1:]
+        share = np.clip(net / np.maximum(room, 1e-9), 0, 1)
+        best = share.argmax(1) if n else np.zeros(len(total), np.int64)
+        names, scores = [], np.zeros(len(total))
         for d, i in enumerate(best):
-            if not total[d] or not self.languages:
+            if not total[d] or not n:
                 names.append(UNKNOWN)
                 continue
             scores[d] = share[d, i]
@@ -144,44 +188,45 @@ class Filters:
         return names, scores
 
 
-def fit(texts: DataFrame, params: LangIdParams = LangIdParams()) -> Filters:
+def fit(texts: DataFrame, params: LangIdParams = LangIdParams()) -> LanguageModel:
     """Filters from all rows of (lang, text); null languages are left out.
 
-    Frequencies are Spark aggregates over whole texts. What reaches the driver is the filter itself,
-    at most `most_slots` rows, each made by or-ing the languages of the trigrams that fall there.
+    Frequencies are Spark aggregates over whole texts. Each slot of a filter is made by or-ing the
+    languages of the trigrams that fall there; the filters of all shards are written as one table.
     """
     known = texts.where("lang is not null")
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()
     languages = sorted((r["lang"] for r in sizes), key=str.encode)
-    width = max(1, -(-len(languages) // WORD))
     if not languages:
-        return Filters([], UNKNOWN, np.zeros((1, width), np.int64), params.hashes)
+        return LanguageModel([], UNKNOWN, None, 1, 1, params.hashes)
     counts = stored(gram_counts(known.select("lang", "text"), languages))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rates = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))
     most = rates.groupBy("gram").agg(F.max("rate").alias("most"))
     member = stored(rates.join(most, "gram").where(F.col("rate") >= F.col("most") * params.share).select("gram", "lang"))
     grams = member.select("gram").distinct().count()
-    slots = 1
-    while slots < min(grams * params.slots_per_gram, params.most_slots):
-        slots *= 2
+    room = params.most_slots // -(-len(languages) // WORD)
+    slots = shards = 1
+    while slots * shards < grams * params.slots_per_gram:
+        if 2 * slots <= room:
+            slots *= 2
+        else:
+            shards *= 2
 
     def place(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             keys, lang = part.column(0).to_numpy().view(np.uint64), part.column(1).to_numpy()
             bit = np.left_shift(np.int64(1), (lang % WORD).astype(np.int64))
+            shard = _shard(keys, shards, params.hashes)
             for probe in range(params.hashes):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_slots(keys, probe, slots)), pa.array((lang // WORD).astype(np.int32)), pa.array(bit)],
-                    names=["slot", "word", "bits"])
+                    [pa.array(shard), pa.array(_slots(keys, probe, slots)), pa.array((lang // WORD).astype(np.int32)), pa.array(bit)],
+                    names=["shard", "slot", "word", "bits"])
 
-    placed = member.mapInArrow(releasing(place), "slot long, word int, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
-    table = placed.toArrow()
-    rows = np.zeros((slots, width), np.int64)
-    rows[table.column("slot").to_numpy(), table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    if len(languages) <= 8:
-        rows = rows.astype(np.uint8)
-    return Filters(languages, sizes[0]["lang"], rows, params.hashes)
+    placed = member.mapInArrow(releasing(place), "shard long, slot long, word int, bits long")
+    merged = placed.groupBy("shard", "slot", "word").agg(F.bit_or("bits").alias("bits"))
+    table = stored(merged.sortWithinPartitions("shard", "slot"))
+    return LanguageModel(languages, sizes[0]["lang"], table, slots, shards, params.hashes)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -189,22 +234,51 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def predict(docs: DataFrame, filters: Filters, keep: list[str], text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str = "text") -> DataFrame:
     """`keep` columns, lang_pred and score. `und`, with score 0, if the text is null or has no letter
     (or nothing was learned). A text with letters of which none of the filters knows a trigram gets
-    the language learned from most often, with score 0. Equal shares go to the first language by name."""
-    held = docs.sparkSession.sparkContext.broadcast(filters)
-    return python_columns(
-        docs, _decider(held), "lang_pred string, score double", {"text": F.col(text_col)}, keep)
+    the language learned from most often, with score 0. Equal shares go to the first language by name.
+
+    One shard is one scan. With several, each shard's filter passes over the texts and writes its
+    evidence, some numbers a text, which is then added up."""
+    fields = "lang_pred string, score double"
+    spark, text = docs.sparkSession, {"text": F.col("_text")}
+    # What the tasks decide with; the table stays with the driver.
+    names = replace(model, table=None)
+    rows = docs.select(*keep, F.col(text_col).alias("_text"))
+    if model.shards == 1:
+        held = spark.sparkContext.broadcast(model.filters(0))
+        return python_columns(rows, _decider(names, held), fields, text, keep)
+    rows = rows.withColumn("_key", text_key(F.col("_text")))
+    rounds = []
+    for shard in range(model.shards):
+        held = spark.sparkContext.broadcast(model.filters(shard))
+        rounds.append(once_a_text(python_columns(rows, _witness(held), "_part array<double>", text, ["_key"])))
+    parted = with_parts(rows.drop("_text"), rounds)
+    return python_columns(parted, _decider(names), fields, {"parts": F.col("_parts")}, keep)
+
+
+def _witness(held) -> Callable:
+    def make():
+        def witness(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
+            evidence = held.value.evidence(batch["text"].to_pylist())
+            return {"_part": pa.array(list(evidence), pa.list_(pa.float64()))}
 
+        return witness
+
+    return make
 
-def _decider(held) -> Callable:
-    def make():
-        filters: Filters = held.value
 
+def _decider(names: LanguageModel, held=None) -> Callable:
+    """Decides by the evidence of all rounds, or by what the only filter finds now."""
+    def make():
         def decide(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
-            names, scores = filters.decide(batch["text"].to_pylist())
-            return {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores)}
+            if held is not None:
+                evidence = held.value.evidence(batch["text"].to_pylist())
+            else:
+                evidence = np.array([np.sum(parts, 0) for parts in batch["parts"].to_pylist()])
+            langs, scores = names.decide(evidence)
+            return {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores)}
 
         return decide
 
@@ -218,5 +292,5 @@ def identify(docs: DataFrame, params: LangIdParams = LangIdParams()) -> DataFram
     are ignored. Rows that repeat an id are judged one by one. An empty table gives no rows.
     """
     marked = docs.select("doc_id", held_out().alias("held_out"), "lang", "text")
-    filters = fit(marked.where("not held_out and doc_id is not null").select("lang", "text"), params)
-    return predict(marked, filters, ["doc_id", "held_out"])
+    model = fit(marked.where("not held_out and doc_id is not null").select("lang", "text"), params)
+    return predict(marked, model, ["doc_id", "held_out"])

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridelabel.llm.common import python_columns, releasing, semi, stored
+from ridelabel.llm.common import once_a_text, python_columns, releasing, semi, stored, text_key, with_parts
 
 ORDER = 4
 BEGIN = 2
@@ -222,37 +222,41 @@ def _rounds(model: DataFrame, most: int) -> list[list[int]]:
 def perplexities(
     docs: DataFrame, model: DataFrame, keep: list[str], text_col: str = "text", round_rows: int = ROUND_ROWS,
 ) -> DataFrame:
-    """`keep` columns, n (characters) and log_sum (of their probabilities) of each row."""
+    """`keep` columns, n (characters) and log_sum (of their probabilities) of each row.
+
+    With several rounds, each but the last writes one number a text, by a hash of it; texts are not written.
+    """
     spark = docs.sparkSession
-    rows = docs.select(*keep, F.col(text_col).cast("binary").alias("_text"), F.lit(0.0).alias("_sum"))
+    rows = docs.select(*keep, F.col(text_col).cast("binary").alias("_text"))
     rounds = _rounds(model, round_rows)
+    several = len(rounds) > 1
+    if several:
+        rows = rows.withColumn("_key", text_key(F.col("_text")))
+    before = []
     for i, parts in enumerate(rounds):
-        one = len(rounds) == 1
-        table = model if one else model.where(F.col("part").isin([-1, *parts]))
+        table = model.where(F.col("part").isin([-1, *parts])) if several else model
         table = table.select("order", "gram", "value").toArrow()
         final = i == len(rounds) - 1
         others = np.array([p for own in rounds if own is not parts for p in own], np.int64)
         skipped = others if final else np.setdiff1d(np.arange(65536), parts)
         held = spark.sparkContext.broadcast((
             table.column("order").to_numpy(), table.column("gram").to_numpy(), table.column("value").to_numpy(), skipped))
-        rows = python_columns(
-            rows, _scored(held, final), "n long, log_sum double" if final else "_text binary, _sum double",
-            {"text": F.col("_text"), "sum": F.col("_sum")}, keep)
+        kept = ["_key"] if not final else [*keep, "_key"] if several else keep
+        scored = python_columns(rows, _scored(held), "n long, log_sum double", {"text": F.col("_text")}, kept)
         if not final:
-            rows = stored(rows)
-    return rows
+            before.append(once_a_text(scored.withColumn("_part", F.col("log_sum"))))
+    if not several:
+        return scored
+    earlier = F.aggregate("_parts", F.lit(0.0), lambda total, part: total + part)
+    return with_parts(scored, before).withColumn("log_sum", earlier + F.col("log_sum")).select(*keep, "n", "log_sum")
 
 
-def _scored(held, final: bool) -> Callable:
+def _scored(held) -> Callable:
     def make():
         scorer = Scorer(*held.value)
 
         def score(batch: dict[str, pa.Array]) -> dict[str, pa.Array]:
-            texts = batch["text"].to_pylist()
-            totals, sizes = scorer.sums(texts)
-            totals += batch["sum"].to_numpy(zero_copy_only=False)
-            if not final:
-                return {"_text": pa.array(texts, pa.binary()), "_sum": pa.array(totals)}
+            totals, sizes = scorer.sums(batch["text"].to_pylist())
             return {"n": pa.array(sizes), "log_sum": pa.array(totals)}
 
         return score

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ridelabel.llm.decontaminate import decontaminate
 from ridelabel.llm.html_text import LearnParams, Page, best_run, learned_weights, main_text, weights_from
-from ridelabel.llm.langid import LangIdParams, identify
+from ridelabel.llm.langid import LangIdParams, fit, identify
 from ridelabel.llm.minhash import MinHashParams, likely, needed_matches
 from ridelabel.llm.pii import (
     ALL_KINDS, MORE, SIZES, PiiParams, boosted, calibrated, candidates, find_pii, listed, redacted, running_sums, score,
@@ -82,6 +82,72 @@ def test_language_with_more_languages_than_bits(frame):
     assert sum(got[i] == lang for i, _, lang in rows) >= 0.99 * len(rows)
 
 
+def _grams(text):
+    """Trigrams of lower-cased letters, everything else is one blank."""
+    flat = " " + re.sub(r"[\W\d_]+", " ", (text or "").lower()) + " "
+    return [flat[i - 1:i + 2] for i in range(1, len(flat) - 1) if flat[i] != " "]
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_language_by_many_small_filters_equals_plain_sets(frame, monkeypatch, shuffled):
+    if shuffled:
+        monkeypatch.setattr("ridelabel.llm.common.small_enough", lambda *_: False)
+    rows = [(i, t, "en") for i, t in enumerate(_sentences(5, 90, ENGLISH))]
+    rows += [(200 + i, t, "de") for i, t in enumerate(_sentences(6, 90, GERMAN))]
+    rows += [(400 + i, "und the Straße", None) for i in range(60)] + [(500, None, "en"), (501, "", "de"), (500, "12", None), (None, "und", "de")]
+    rows += [(600 + i, "zwischen house " * 3, None) for i in range(5)]
+    params = LangIdParams(slots_per_gram=256, most_slots=4096)
+    marked = identify(frame(rows), params).collect()
+    counts = {"en": Counter(), "de": Counter()}
+    unseen = {r.doc_id for r in marked if r.held_out}
+    for i, text, lang in rows:
+        if lang and i is not None and i not in unseen:
+            counts[lang].update(_grams(text))
+    rate = {x: {g: n / sum(own.values()) for g, n in own.items()} for x, own in counts.items()}
+    most = {g: max(own.get(g, 0) for own in rate.values()) for own in rate.values() for g in own}
+    member = {x: {g for g, r in own.items() if r >= 0.2 * most[g]} for x, own in rate.items()}
+    model = fit(frame(rows).where("doc_id % 2 = 0").select("lang", "text"), params)
+    assert model.shards >= 4
+    want = Counter()
+    for i, text, _ in rows:
+        own = _grams(text)
+        share = {x: sum(g in member[x] for g in own) / max(len(own), 1) for x in ("de", "en")}
+        best = max(share, key=share.get)
+        want[i, best if own else "und", round(share[best], 2) if own else 0.0] += 1
+    assert Counter((r.doc_id, r.lang_pred, round(r.score, 2)) for r in marked) == want
+
+
+def test_filters_stay_sparse_at_any_number_of_trigrams(spark, frame):
+    draw = random.Random(11)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    rows = [(i, "".join(draw.choice(letters) for _ in range(2000)), "zh" if i % 2 else "ja") for i in range(40)]
+    model = fit(frame(rows).select("lang", "text"), LangIdParams(most_slots=1 << 16))
+    assert model.shards == 32 and model.slots == 1 << 16
+    assert all((model.filters(shard).false < 0.01).all() for shard in (0, 13, 31))
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_rounds_write_results_by_text_and_never_texts(spark, frame, monkeypatch, shuffled):
+    from ridelabel.llm import common
+
+    kept = []
+    monkeypatch.setattr(common, "stored", lambda made, real=common.stored: kept.append(made.dtypes) or real(made))
+    if shuffled:
+        monkeypatch.setattr(common, "small_enough", lambda *_: False)
+    docs = [(i, "the water from there " * (1 + i % 3), "en") for i in range(30)] + [(40, None, "en"), (41, "", None), (None, "water", None)]
+    docs += [(7, "the water", "en")] * 2
+    model = language_model(frame(docs).select(F.col("text").cast("binary")))
+    once, often = (
+        sorted(map(tuple, perplexities(frame(docs), model, ["doc_id", "lang"], round_rows=limit).collect()), key=repr) for limit in (10**6, 20))
+    assert len(once) == len(docs) and [r[:3] for r in once] == [r[:3] for r in often]
+    assert [r[3] for r in often] == pytest.approx([r[3] for r in once], rel=1e-12)
+    bench = spark.createDataFrame([(1, "water from there"), (2, "the water"), (None, "there the water")], "item_id long, text string")
+    once, often = (
+        sorted(map(repr, decontaminate(frame(docs), bench, extra=("lang", "text"), block_bytes=size).collect())) for size in (10**6, 10))
+    assert len(once) == len(docs) and once == often
+    assert kept and all({name for name, _ in own} <= {"_key", "_part", "_parts"} for own in kept)
+
+
 def _contamination(docs, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
     out = []
