@@ -131,8 +131,11 @@ def language_model(texts: DataFrame) -> DataFrame:
         own = counts[order].withColumn("context", F.shiftrightunsigned("gram", 16) if order > 1 else F.lit(0).cast("long"))
         totals = own.groupBy("context").agg(F.sum("n").alias("total"), F.sum(less).alias("cut"))
         weights = totals.select("context", "total", (F.col("cut") / F.col("total")).alias("weight"))
-        joined = own.join(weights, "context")
         if lower is None:
+            # One context: its total and weight are two numbers, not a table to join.
+            one = weights.first()
+            total, weight = (one["total"], one["weight"]) if one else (None, None)
+            joined = own.withColumns({"total": F.lit(total).cast("long"), "weight": F.lit(weight).cast("double")})
             # The lowest order shares its weight evenly among the characters seen and one more.
             even = 1.0 / (counts[1].count() + 1)
             joined = joined.withColumn("below", F.lit(even))
@@ -140,7 +143,7 @@ def language_model(texts: DataFrame) -> DataFrame:
                 F.lit(-1).alias("part"), F.lit(11).alias("order"), F.col("context").alias("gram"),
                 (F.log("weight") + F.log(F.lit(even))).alias("value")))
         else:
-            joined = joined.withColumn("low", _low(F.col("gram"), order - 1)) \
+            joined = own.join(weights, "context").withColumn("low", _low(F.col("gram"), order - 1)) \
                 .join(lower.select(F.col("gram").alias("low"), F.col("p").alias("below")), "low")
             tables.append(weights.select(
                 _low(F.col("context"), 1).cast("int").alias("part"), F.lit(order + 10).alias("order"),
