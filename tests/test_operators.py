@@ -351,3 +351,32 @@ def test_a_sweep_refuses_other_parameters(spark, sf_dir, waypoints):
     tables = [make(spark, sf_dir) for make in (fx.fixture_stops, fx.fixture_lines, fx.fixture_departures)]
     with pytest.raises(ValueError):
         plans.parameter_sweep(waypoints, *tables, [P, P.with_(zone="UTC")])
+
+
+def broadcasts(table):
+    """Joins of the plan that Spark chose to broadcast for."""
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+
+
+def test_derived_departures_meet_their_stops_in_a_shuffle(spark, sf_dir):
+    """Exploded calls look as small as the lines they come from."""
+    assert not broadcasts(fx.fixture_departures.__wrapped__(spark, sf_dir))
+
+
+def test_growing_tables_of_the_index_are_shuffled(spark, sf_dir):
+    stops, departures = fx.fixture_stops(spark, sf_dir), fx.fixture_departures(spark, sf_dir)
+    placed, service = index.stop_tiles(stops, P), index.service_table(departures)
+    for table in (
+        index.line_index(departures, stops, P, [5, 10, 15]),
+        index.resolve_stops(index.stop_index(departures, stops, P), stops),
+        index.serving_stops(placed, service),
+    ):
+        assert not broadcasts(table)
+
+
+def test_a_lookup_without_broadcast_is_a_shuffle_whatever_the_estimate(spark):
+    big, small = spark.range(100).selectExpr("id % 7 AS k", "id"), spark.range(7).selectExpr("id AS k", "id * 2 AS v")
+    found = lookup(big, small, ["k"], False, 16, [F.col("id")])
+    assert not broadcasts(found)
+    assert found.where("v = 2 * k").count() == 100
