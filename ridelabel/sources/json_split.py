@@ -12,13 +12,19 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_ESCAPE = re.compile(r"\\.", re.DOTALL)
-_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*("|$)|[\[\]{}]', re.DOTALL)
-_REST_OF_STRING = re.compile(r'(?:[^"\\]|\\.)*("|$)', re.DOTALL)
+_ESCAPE = re.compile(rb"\\.", re.DOTALL)
+_QUOTE = ord('"')
+#: What each byte adds to the depth, and the bytes that matter: brackets and quotes. UTF-8 has them nowhere else.
+_STEP = np.zeros(256, np.int8)
+_STEP[list(b"{[")], _STEP[list(b"}]")] = 1, -1
+_MATTERS = _STEP != 0
+_MATTERS[_QUOTE] = True
 
 #: Rows handed on at a time.
 _ROWS = 2000
@@ -28,8 +34,16 @@ _ROWS = 2000
 WHOLE, HEAD, TAIL, MIDDLE, NONE = "whole", "head", "tail", "middle", "none"
 
 
-def depth_of(text: str) -> int:
-    return text.count("{") + text.count("[") - text.count("}") - text.count("]")
+def _marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place and kind of each bracket and quote, and how many quotes come up to it.
+
+    The text begins and ends outside any escape.
+    """
+    plain = _ESCAPE.sub(b"  ", text) if b"\\" in text else text
+    kinds = np.frombuffer(plain, np.uint8)
+    at = np.flatnonzero(_MATTERS[kinds])
+    kinds = kinds[at]
+    return at, kinds, np.cumsum(kinds == _QUOTE)
 
 
 class SplitSum:
@@ -39,72 +53,86 @@ class SplitSum:
         self.flips = False
         self.gained = [0, 0]  # beginning outside, or inside, a string
 
-    def add(self, piece: str) -> None:
-        parts = _ESCAPE.sub("", piece).split('"')
-        even, odd = depth_of("".join(parts[0::2])), depth_of("".join(parts[1::2]))
+    def add(self, text: bytes) -> None:
+        _, kinds, quotes = _marks(text)
+        steps = _STEP[kinds]
+        odd = int(steps[quotes % 2 == 1].sum(dtype=np.int64))
+        even = int(steps.sum(dtype=np.int64)) - odd
         out, inside = (odd, even) if self.flips else (even, odd)
         self.gained[0] += out
         self.gained[1] += inside
-        self.flips ^= len(parts) % 2 == 0
+        self.flips ^= bool(len(quotes) and quotes[-1] % 2)
 
 
 class ValueCutter:
-    """Cuts values at one depth out of consecutive pieces; begins in any state."""
+    """Cuts values at one depth out of consecutive texts; begins in any state."""
 
     def __init__(self, depth: int, inside: bool, target: int, close: str):
-        self.depth, self.inside, self.target, self.close = depth, inside, target, close
+        self.depth, self.inside, self.target, self.close = depth, inside, target, ord(close)
         self.active = depth >= target
-        self.held: list[str] = []
+        self.held: list[bytes] = []
         # The first value began in an earlier split, unless the document begins here.
         self.kind = HEAD
 
-    def cut(self, text: str) -> Iterator[tuple[str, str]]:
-        begin = at = 0
-        if self.inside:
-            match = _REST_OF_STRING.match(text)
-            at = match.end()
-            self.inside = not match.group(1)
-        for match in _TOKEN.finditer(text, at):
-            token = match.group()
-            if token[0] == '"':
-                self.inside = not match.group(1)
-            elif token in "[{":
-                self.depth += 1
-                if self.depth == self.target:
-                    begin, self.held, self.active, self.kind = match.end(), [], True, WHOLE
-            else:
-                self.depth -= 1
-                if self.depth == self.target and token == self.close and self.active:
-                    self.held.append(text[begin:match.end()])
-                    yield self.kind, "".join(self.held)
-                    begin, self.held, self.kind = match.end(), [], WHOLE
-                elif self.depth < self.target:
-                    if self.active and self.kind == HEAD:
-                        yield NONE, ""
-                    self.active, self.held, self.kind = False, [], WHOLE
+    def cut(self, text: bytes) -> Iterator[tuple[str, bytes]]:
+        at, kinds, quotes = _marks(text)
+        quotes += self.inside
+        if len(quotes):
+            self.inside = bool(quotes[-1] % 2)
+        brackets = (kinds != _QUOTE) & (quotes % 2 == 0)
+        at, kinds = at[brackets], kinds[brackets]
+        steps = _STEP[kinds]
+        depths = self.depth + np.cumsum(steps, dtype=np.int64)
+        if len(depths):
+            self.depth = int(depths[-1])
+        on, below = depths == self.target, (steps < 0) & (depths < self.target)
+        # Only brackets that begin or end a value, or that leave the depth of values, are looked at one by one.
+        seen = below | on & ((steps > 0) | (kinds == self.close))
+        begin = 0
+        for place, opens, leaves in zip((at[seen] + 1).tolist(), (steps[seen] > 0).tolist(), below[seen].tolist()):
+            if opens:
+                begin, self.held, self.active, self.kind = place, [], True, WHOLE
+            elif leaves:
+                if self.active and self.kind == HEAD:
+                    yield NONE, b""
+                self.active, self.held, self.kind = False, [], WHOLE
+            elif self.active:
+                self.held.append(text[begin:place])
+                yield self.kind, b"".join(self.held)
+                begin, self.held, self.kind = place, [], WHOLE
         if self.active:
             self.held.append(text[begin:])
 
-    def rest(self) -> Iterator[tuple[str, str]]:
+    def rest(self) -> Iterator[tuple[str, bytes]]:
         if self.active:
-            yield (MIDDLE if self.kind == HEAD else TAIL), "".join(self.held)
+            yield (MIDDLE if self.kind == HEAD else TAIL), b"".join(self.held)
+
 
+def _runs(batches: Iterable[pa.RecordBatch], close: str) -> Iterator[tuple[bool, dict, bytes]]:
+    """(a split begins here, its columns, text) for texts in the order of the files.
 
-def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, dict, str]]:
-    """(a split begins here, its columns, a piece) for pieces in the order of the files."""
+    A text is all of a batch's pieces that lie in one split, each with the bracket it ends in.
+    """
     split = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         names = [n for n in batch.schema.names if n != "value"]
-        columns = [batch.column(n).to_pylist() for n in names]
-        for *key, piece in zip(*columns, batch.column("value").to_pylist()):
-            new = split is None or key != split[0]
-            if new:
-                split = key, dict(zip(names, key))
-            yield new, split[1], piece
+        pieces = batch.column("value").cast(pa.binary()).to_pylist()
+        changes = np.zeros(batch.num_rows - 1, bool)
+        for column in map(batch.column, names):
+            changes |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(edges, edges[1:]):
+            key = {n: batch.column(n)[begin].as_py() for n in names}
+            new, split = key != split, key
+            # The last piece ends in its bracket, too.
+            yield new, key, close.encode().join([*pieces[begin:end], b""])
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    columns = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 _SUM = pa.schema([("doc", pa.string()), ("block", pa.int64()), ("flips", pa.bool_()), ("out", pa.int64()), ("ins", pa.int64())])
@@ -114,12 +142,12 @@ _VALUE = pa.schema([("doc", pa.string()), ("block", pa.int64()), ("nth", pa.int6
 def _summer(close: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, key = None, None
-        for new, split, piece in _runs(batches):
+        for new, split, text in _runs(batches, close):
             if new:
                 if total:
                     yield _rows([(key["doc"], key["block"], total.flips, *total.gained)], _SUM)
                 total, key = SplitSum(), split
-            total.add(piece + close)
+            total.add(text)
         if total:
             yield _rows([(key["doc"], key["block"], total.flips, *total.gained)], _SUM)
 
@@ -130,12 +158,12 @@ def _cutter(target: int, close: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         cutter, key, nth = None, None, 0
-        for new, split, piece in _runs(batches):
+        for new, split, text in _runs(batches, close):
             if new:
                 if cutter:
                     rows += [(key["doc"], key["block"], nth, *part) for part in cutter.rest()]
                 cutter, key, nth = ValueCutter(split["depth"], split["inside"], target, close), split, 0
-            for part in cutter.cut(piece + close):
+            for part in cutter.cut(text):
                 rows.append((key["doc"], key["block"], nth, *part))
                 nth += 1
             if len(rows) >= _ROWS:

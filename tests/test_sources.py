@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from ridelabel.functions import tiles
 from ridelabel.operators.collapse import DOORS
 from ridelabel.params import MatchParams
 from ridelabel.plans.enrich import enrich
+from ridelabel.sources import json_split
 from ridelabel.sources import master as ms
 from ridelabel.sources.json_split import json_values
 from ridelabel.sources.osm import read_osm_elements
@@ -173,3 +175,25 @@ def test_empty_and_broken_documents(spark, tmp_path):
     (tmp_path / "cut").write_text('{"elements": [{"type": "node", "id": 1}, {"type": "node", "id"')
     with pytest.raises(Exception):
         read_osm_elements(spark, str(tmp_path / "cut")).collect()
+
+
+def test_pieces_of_a_split_are_cut_together(monkeypatch):
+    """Work per batch and split, not per bracket; the values are those of the documents, wherever batches end."""
+    calls = []
+    cut = json_split.ValueCutter.cut
+    monkeypatch.setattr(json_split.ValueCutter, "cut", lambda self, text: calls.append(text) or cut(self, text))
+    rng = random.Random(7)
+    documents = {d: [{"id": i, "tags": _value(rng, 3), "s": rng.choice(['"', '\\', '\\"}', "é}"])} for i in range(300)] for d in "ab"}
+    pieces = [(d, p) for d, v in documents.items() for p in json.dumps({"e": v}, ensure_ascii=d == "a").split("}")[:-1]]
+    batches = []
+    for begin in range(0, len(pieces), 97):
+        docs, texts = zip(*pieces[begin:begin + 97])
+        n = len(docs)
+        batches.append(pa.RecordBatch.from_pydict({
+            "doc": docs, "block": [0] * n, "inside": [False] * n, "depth": [0] * n, "value": texts}))
+    rows = [r for b in json_split._cutter(2, "}")(iter(batches)) for r in b.to_pylist()]
+    found = {d: [json.loads(r["value"].lstrip(", ")) for r in rows if r["doc"] == d and r["kind"] == json_split.WHOLE] for d in "ab"}
+    assert found == documents
+    assert len(calls) == len(batches) + 1
+    sums = [r for b in json_split._summer("}")(iter([b.select(["doc", "block", "value"]) for b in batches])) for r in b.to_pylist()]
+    assert [(r["doc"], r["flips"], r["out"]) for r in sums] == [("a", False, 0), ("b", False, 0)]
