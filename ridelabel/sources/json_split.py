@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ridelabel.storage import written
+
 _ESCAPE = re.compile(rb"\\.", re.DOTALL)
 _QUOTE = ord('"')
 #: What each byte adds to the depth, and the bytes that matter: brackets and quotes. UTF-8 has them nowhere else.
@@ -186,7 +188,8 @@ def json_values(spark: SparkSession, path: str, close: str, depth: int) -> DataF
     that depth must end in the other bracket or in none.
 
     A document is read in splits like any text file, twice; ``pos`` orders the values of a file.
-    A broadcast holds one row per split (of ``spark.sql.files.maxPartitionBytes``).
+    The values are written to the shared folder at the call (see ``written``). A broadcast holds
+    one row per split (of ``spark.sql.files.maxPartitionBytes``).
     """
     meta = F.col("_metadata")
     pieces = spark.read.text(path, lineSep=close).select(
@@ -199,8 +202,9 @@ def json_values(spark: SparkSession, path: str, close: str, depth: int) -> DataF
     states = states.withColumn("gained", gained).select(
         "doc", "block", "inside", F.coalesce(F.sum("gained").over(before), F.lit(0)).alias("depth"))
     begun = pieces.join(F.broadcast(states), ["doc", "block"])
-    parts = begun.select("doc", "block", "inside", "depth", "value").mapInArrow(
-        _cutter(depth, close), "doc string, block long, nth long, kind string, value string")
+    # Whole values and parts are read apart; the text is not cut twice for that.
+    parts = written(begun.select("doc", "block", "inside", "depth", "value").mapInArrow(
+        _cutter(depth, close), "doc string, block long, nth long, kind string, value string"))
 
     # Two parts at most from each split lie across its edges.
     whole = parts.where(F.col("kind") == WHOLE).select("doc", (F.col("block") + F.col("nth")).alias("pos"), "value")

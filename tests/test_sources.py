@@ -13,6 +13,7 @@ from ridelabel.params import MatchParams
 from ridelabel.plans.enrich import enrich
 from ridelabel.sources import json_split
 from ridelabel.sources import master as ms
+from ridelabel.sources.fixtures import fixture_osm_elements
 from ridelabel.sources.json_split import json_values
 from ridelabel.sources.osm import read_osm_elements
 from ridelabel.sources.waypoints import CORRUPT, decode_waypoints, encode_waypoints, read_waypoints
@@ -197,3 +198,11 @@ def test_pieces_of_a_split_are_cut_together(monkeypatch):
     assert len(calls) == len(batches) + 1
     sums = [r for b in json_split._summer("}")(iter([b.select(["doc", "block", "value"]) for b in batches])) for r in b.to_pylist()]
     assert [(r["doc"], r["flips"], r["out"]) for r in sums] == [("a", False, 0), ("b", False, 0)]
+
+
+def test_documents_are_cut_once_and_orders_grouped_once(spark, sf_dir, tmp_path):
+    (tmp_path / "a").write_text('{"e": [{"id": 1}, {"id": 2}]}')
+    plan = json_values(spark, str(tmp_path), "}", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
+    derived = fixture_osm_elements.__wrapped__(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(" not in derived
