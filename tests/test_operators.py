@@ -1,6 +1,7 @@
 """Sessions, runs, collapse, index and vote on literal rows."""
 
 import random
+from collections import Counter
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -380,3 +381,54 @@ def test_a_lookup_without_broadcast_is_a_shuffle_whatever_the_estimate(spark):
     found = lookup(big, small, ["k"], False, 16, [F.col("id")])
     assert not broadcasts(found)
     assert found.where("v = 2 * k").count() == 100
+
+
+def test_a_shuffled_lookup_sends_every_row_of_the_table_once(spark):
+    """A copy for each salt made the timetable the largest table of the job."""
+    big, small = spark.range(100).selectExpr("id % 7 AS k", "id"), spark.range(7).selectExpr("id AS k", "id * 2 AS v")
+    found = lookup(big, small, ["k"], False, 16, [F.col("id")])
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def with_settings(spark, settings, run):
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_popular_and_null_keys_of_a_shuffled_lookup_meet_in_many_tasks(spark):
+    kind = "CASE WHEN id % 10 < 4 THEN 1L WHEN id % 10 < 8 THEN NULL ELSE id END AS k"
+    big = spark.range(0, 40_000, 1, 8).selectExpr(kind, "id", "repeat(uuid(), 4) AS text")
+    small = spark.range(40_000).selectExpr("id AS k", "id * 2 AS v")
+    size = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    settings = {size: "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+    def split():
+        found = lookup(big, small, ["k"], False, 16, [F.col("id")])
+        rows = found.select("k", "id", "v", F.spark_partition_id().alias("task"))
+        got = rows.collect()
+        return got, rows._jdf.queryExecution().executedPlan().toString()
+
+    got, plan = with_settings(spark, settings, split)
+    assert "skew=true" in plan
+    assert len(got) == 40_000 and all(r.v == (None if r.k is None else 2 * r.k) for r in got)
+    assert len({r.task for r in got if r.k == 1}) > 1
+    nulls = Counter(r.task for r in got if r.k is None)
+    assert len(nulls) >= 16 and max(nulls.values()) < 16_000 / 4
+
+
+def test_a_shuffled_lookup_spreads_popular_keys_over_salts_where_spark_does_not(spark):
+    big, small = spark.range(1000).selectExpr("IF(id < 900, 1L, NULL) AS k", "id"), spark.range(7).selectExpr("id AS k", "id * 2 AS v")
+    for name in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        def salted():
+            found = lookup(big, small, ["k"], False, 8, [F.col("id")])
+            return found.where("v = 2").count(), found._jdf.queryExecution().executedPlan().toString()
+
+        count, plan = with_settings(spark, {name: "false"}, salted)
+        assert count == 900 and "Generate" in plan
