@@ -15,7 +15,7 @@ from ridelabel.operators.skew import lookup, split_hot, with_chunks
 from ridelabel.params import MatchParams
 from ridelabel.plans import enrich as plans
 from ridelabel.sources import fixtures as fx
-from ridelabel.sources.master import MasterData
+from ridelabel.sources.master import HASHED, MasterData, measured
 from ridelabel.sources.waypoints import WAYPOINT_SCHEMA
 from ridelabel.storage import written
 
@@ -432,3 +432,12 @@ def test_a_shuffled_lookup_spreads_popular_keys_over_salts_where_spark_does_not(
 
         count, plan = with_settings(spark, {name: "false"}, salted)
         assert count == 900 and "Generate" in plan
+
+
+@pytest.mark.parametrize("limit", [20_000, 60_000, 200_000, 1_000_000])
+def test_broadcast_tables_fit_together_with_their_hash_tables(spark, sf_dir, limit):
+    """Each alone, its rows' values alone: several times the limit came together in the driver."""
+    tables = [make(spark, sf_dir) for make in (fx.fixture_stops, fx.fixture_lines, fx.fixture_departures)]
+    master = MasterData.from_timetable(*tables, P.with_(broadcast_bytes=limit))
+    sizes = measured(**{n: getattr(master, n) for n in master.small})
+    assert 0 < sum(size + HASHED * rows for rows, size, _ in sizes.values()) <= limit
