@@ -441,3 +441,44 @@ def test_broadcast_tables_fit_together_with_their_hash_tables(spark, sf_dir, lim
     master = MasterData.from_timetable(*tables, P.with_(broadcast_bytes=limit))
     sizes = measured(**{n: getattr(master, n) for n in master.small})
     assert 0 < sum(size + HASHED * rows for rows, size, _ in sizes.values()) <= limit
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return blocks.mkString(" ").count("shuffle_")
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert table.count() == 7 and shuffle_files(spark) <= before
+
+
+def test_departures_reach_the_lists_of_lines_by_two_exchanges(spark, sf_dir):
+    """One by stop, one by tile; the stops' own grouping is the third of the plan."""
+    rows = index.line_index(fx.fixture_departures(spark, sf_dir), fx.fixture_stops(spark, sf_dir), P, [5, 15])
+    plan = index.candidate_lists(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_index_of_repeated_and_unknown_departures(spark):
+    stops = spark.createDataFrame([("A", 50.0, 9.0, 1), ("A", 10.0, 9.0, 2), ("B", 50.0, 9.0, 3)], "IFOPT STRING, latitude DOUBLE, longitude DOUBLE, pos INT")
+    calls = [(1, 0, "A", 0), (1, 0, "A", 0), (1, 0, "A", 86_399), (1, 1, "B", 299), (2, 0, "B", None), (None, 0, "B", 600), (3, 0, "C", 0), (3, 0, None, 0)]
+    departures = spark.createDataFrame(calls, "line_id BIGINT, seq BIGINT, IFOPT STRING, dep_sec BIGINT")
+    lines = index.line_index(departures, stops, P)
+    assert lines.select("tile7").distinct().count() == 1
+    assert Counter(tuple(r) for r in lines.select("line_id", "seq", "bucket").collect()) == Counter([
+        (1, 0, 0), (1, 0, 1), (1, 0, 287), (1, 1, 0), (1, 1, 1), (2, 0, None), (None, 0, 2), (None, 0, 3)])
+    stopped = index.stop_index(departures, stops, P)
+    assert Counter(tuple(r) for r in stopped.select("IFOPT", "bucket").collect()) == Counter([
+        ("A", 0), ("A", 1), ("A", 287), ("B", 0), ("B", 1), ("B", None), ("B", 2), ("B", 3)])
+
+
+def test_tables_written_to_be_measured_are_not_made_again(spark, sf_dir):
+    tables = (fx.fixture_stops(spark, sf_dir), fx.fixture_lines(spark, sf_dir), fx.fixture_departures(spark, sf_dir))
+    large = MasterData.from_timetable(*tables, P.with_(broadcast_bytes=0))
+    assert large.kept == {"due", "serving"} and not large.small
+    stored = large.stored()
+    assert stored.due is large.due and stored.serving is large.serving and stored.placed is not large.placed
+    small = MasterData.from_timetable(*tables, P)
+    assert not small.kept and sorted(map(repr, small.due.collect())) == sorted(map(repr, stored.due.collect()))
