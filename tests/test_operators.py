@@ -482,3 +482,11 @@ def test_tables_written_to_be_measured_are_not_made_again(spark, sf_dir):
     assert stored.due is large.due and stored.serving is large.serving and stored.placed is not large.placed
     small = MasterData.from_timetable(*tables, P)
     assert not small.kept and sorted(map(repr, small.due.collect())) == sorted(map(repr, stored.due.collect()))
+
+
+def test_a_sweep_takes_to_the_vote_what_it_reads(spark, sf_dir, waypoints, monkeypatch):
+    tables = (fx.fixture_stops(spark, sf_dir), fx.fixture_lines(spark, sf_dir), fx.fixture_departures(spark, sf_dir))
+    steps = []
+    monkeypatch.setattr(plans, "written", lambda rows: steps.append(written(rows)) or steps[-1])
+    plans.parameter_sweep(waypoints, *tables, [P, P.with_(session_gap_seconds=60)])
+    assert [s.columns for s in steps] == [["vehicle_id", "session_id", "time", "seq_no", vote.RULES, "cands"]]
